@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, packing, simhash
 
 QUERIES = {
+    "op2_simhash_dedup": simhash.op2_simhash_dedup,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
 }
 
