@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, simhash
+from . import exact_dedup, packing, secret_scan, simhash
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.op1_secret_scan,
     "op2_simhash_dedup": simhash.op2_simhash_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
