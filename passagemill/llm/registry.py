@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, secret_scan, simhash
+from . import exact_dedup, packing, pii, secret_scan, simhash
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
     "op2_simhash_dedup": simhash.op2_simhash_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op10_pii_surrogates": pii.op10_pii_surrogates,
 }
 
 ORACLES = {**exact_dedup.SQL}
