@@ -18,10 +18,12 @@ any row; an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
+from functools import cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -32,23 +34,49 @@ from . import common
 
 CAPACITY, END_ID, TOKENIZER = 2048, 0, "word_bpe_49k.json"
 #: Chunks that a worker remembers, and the longest that it does, in bytes.
-REMEMBERED, LONGEST = 400_000, 48
+REMEMBERED, LONGEST = 600_000, 48
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long, part int, local long"
 
 
 class ChunkEncoder:
-    """Token ids of UTF-8 texts as little-endian 32-bit words."""
+    """Token ids of UTF-8 texts as little-endian 32-bit words.
+
+    A chunk of plain letters, with or without a full stop or comma after it, is what the tokenizer's normalizer and
+    pre-tokenizer leave as one or two words, so its lower-cased words go to its BPE model at once; all others go the whole way.
+    """
+
+    #: Letters that are composed already and have one small letter each.
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
+        # the byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes follow from 256 on
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        self.letters = dict(zip(sorted(set(range(256)) - set(shown)), range(256, 512)))
+
+    def _word(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, chunks: list[bytes], into: dict[bytes, bytes]) -> None:
-        for at in range(0, len(chunks), 1000):
-            part = chunks[at : at + 1000]
+        other, marks = [], {m: self._word(m) for m in ".,"} | {"": b""}
+        for chunk in chunks:
+            plain = self.PLAIN(chunk.decode())
+            if not plain:
+                other.append(chunk)
+                continue
+            word, mark = plain[1].lower(), plain[2]
+            ids = into.get(key := word.encode())
+            if ids is None:
+                ids = into[key] = self._word(word)
+            into[chunk] = ids + marks[mark]
+        for at in range(0, len(other), 1000):
+            part = other[at : at + 1000]
             for chunk, found in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)):
                 into[chunk] = struct.pack(f"<{len(ids := found.ids)}I", *ids)
 
@@ -64,12 +92,18 @@ class ChunkEncoder:
             new = set(chunks)
         self._learn([c for c in new if len(c) <= LONGEST], known)
         if long := [c for c in new if len(c) > LONGEST]:
-            known = {}
-            self._learn(long, known)
-            return b"".join([self.known[c] if len(c) <= LONGEST else known[c] for c in chunks])
+            others: dict[bytes, bytes] = {}
+            self._learn(long, others)
+            return b"".join([known[c] if len(c) <= LONGEST else others[c] for c in chunks])
         return b"".join(map(known.__getitem__, chunks))
 
 
+@cache
+def encoder(path: str) -> ChunkEncoder:
+    """One for each worker process, so that what it knows outlives a task."""
+    return ChunkEncoder(path)
+
+
 def tokenizer_path(name_or_path: str) -> str:
     if os.path.isabs(name_or_path):
         return name_or_path
@@ -80,12 +114,12 @@ def tokenizer_path(name_or_path: str) -> str:
 
 def _pieces(tokenizer: str, capacity: int):
     def run(batches):
-        encoder, seen, part = ChunkEncoder(tokenizer_path(tokenizer)), defaultdict(int), TaskContext.get().partitionId()
+        encode, seen, part = encoder(tokenizer_path(tokenizer)).encode, defaultdict(int), TaskContext.get().partitionId()
         end, step = struct.pack("<I", END_ID), 4 * capacity
         for batch in batches:
             owner, out = [], ([], [], [], [], [])
             for row, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
-                ids = encoder.encode(text or b"") + end
+                ids = encode(text or b"") + end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     cut = ids[at : at + step]
                     owner.append(row)
@@ -156,7 +190,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenize
     # at most `capacity` rows, whatever the corpus
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("count")).collect()}
     slots = spark.createDataFrame(plan(histogram, capacity), "length long, lo long, hi long, first long, each long, at long")
-    ranked = pieces.join(bases, ["part", "length"]).withColumn("rank", F.col("base") + F.col("local"))
+    ranked = pieces.join(bases.hint("merge"), ["part", "length"]).withColumn("rank", F.col("base") + F.col("local"))
     # the plan has a few rows a length, so its size is bounded by the capacity
     placed = ranked.join(F.broadcast(slots), (ranked["length"] == slots["length"]) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).drop(slots["length"])
     return placed.select(
