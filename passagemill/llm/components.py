@@ -2,7 +2,8 @@
 
 Both steps replace a node's links by links to its smallest neighbour; the number of rounds grows with the
 logarithm of a component's size, not with its diameter. Every step is a join and an aggregate that combines
-before the shuffle, so a hub with very many links is split over tasks; nothing is collected but two numbers a round.
+before the shuffle, so a hub with very many links is split over tasks; nothing is collected or broadcast but two
+numbers a round.
 """
 
 from __future__ import annotations
@@ -16,12 +17,12 @@ from . import common
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     least = links.groupBy("u").agg(F.min("v").alias("m"))
-    moved = links.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = links.join(least.hint("merge"), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
@@ -34,6 +35,6 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         links = common.materialize(_small_star(_large_star(links).distinct()).distinct(), "links")
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
-            return links.select("u", F.col("v").alias("root"))
+            return links.select("u", F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())
         before = now
     raise RuntimeError(f"components did not settle in {rounds} rounds")

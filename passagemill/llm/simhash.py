@@ -109,12 +109,12 @@ def links(prints: DataFrame, budget: int = BUDGET, hot: int = HOT) -> DataFrame:
     keyed = prints.select("fp", F.posexplode(F.array(*[_segment(F.col("fp"), *p) for p in parts])).alias("i", "value"))
     sizes = common.materialize(keyed.groupBy("i", "value").count().where("count > 1"), "segment-sizes")
     paired = sizes if budget != 2 else sizes.where(F.col("count") <= hot)
-    near = keyed.join(paired.select("i", "value"), ["i", "value"])
+    near = keyed.join(paired.select("i", "value").hint("merge"), ["i", "value"])
     left, right = near.withColumnRenamed("fp", "u"), near.withColumnRenamed("fp", "v")
-    found = left.join(right, ["i", "value"]).where(F.col("u") < F.col("v")).where(_chains(F.col("u"), F.col("v"), budget)).select("u", "v")
+    found = left.join(right.hint("merge"), ["i", "value"]).where(F.col("u") < F.col("v")).where(_chains(F.col("u"), F.col("v"), budget)).select("u", "v")
     if budget != 2:
         return found
-    crowded = keyed.join(sizes.where(F.col("count") > hot).select("i", "value"), ["i", "value"]).select("fp").distinct()
+    crowded = keyed.join(sizes.where(F.col("count") > hot).select("i", "value").hint("merge"), ["i", "value"]).select("fp").distinct()
     flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), b) for b in range(BITS)])
     points = crowded.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
     met = points.groupBy("point").agg(F.min("fp").alias("u"), F.collect_set("fp").alias("all")).where(F.size("all") > 1)
@@ -126,10 +126,10 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = common.materialize(fingerprints(df, id_col, text_col, width), "fingerprints")
     prints = common.materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     roots = components(links(prints.select("fp"), budget, hot))
-    rooted = prints.join(roots.withColumnRenamed("u", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = prints.join(roots.withColumnRenamed("u", "fp").hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select(
+    classes = rooted.join(named.hint("merge"), "root").select("fp", "component_id")
+    return rows.join(classes.hint("merge"), "fp").select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -143,4 +143,4 @@ def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents of a component, the one with the smallest id stays; columns as they came."""
     kept = simhash_components(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    return docs.join(kept.hint("merge"), "doc_id", "left_semi")
