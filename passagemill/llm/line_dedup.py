@@ -97,8 +97,8 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
 
 def alike(a: Column, b: Column, edits: int) -> Column:
     """Whether two lines are within the distance: blocks equal from either end are left out, the rest is verified."""
-    width = F.ceil(F.least(F.length(a), F.length(b)) / BLOCKS).cast("int")
     short = F.least(F.length(a), F.length(b))
+    width = F.greatest(F.lit(1), F.ceil(short / BLOCKS).cast("int"))
     full = (short / width).cast("int")  # whole blocks that both lines have
 
     def run(block) -> Column:  # how many of the first blocks are equal

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, pii, secret_scan, simhash
+from . import exact_dedup, line_dedup, packing, pii, secret_scan, simhash, warc_zip
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
     "op2_simhash_dedup": simhash.op2_simhash_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_warc_zip": warc_zip.op4_warc_zip,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
     "op10_pii_surrogates": pii.op10_pii_surrogates,
 }
 
-ORACLES = {**exact_dedup.SQL}
+ORACLES = {**warc_zip.SQL, **exact_dedup.SQL}

@@ -19,7 +19,7 @@ def distance(a, b):
 
 def edited(rng, text, n):
     for _ in range(n):
-        i = rng.randrange(len(text))
+        i = rng.randrange(len(text)) if text else 0
         text = rng.choice([text[:i] + text[i + 1 :], text[:i] + rng.choice("abé😀") + text[i:], text[:i] + rng.choice("abé😀") + text[i + 1 :]])
     return text
 
