@@ -193,7 +193,8 @@ def attempts(found: DataFrame, key: str = KEY, rounds: int = 40) -> DataFrame:
     found = common.materialize(found.withColumn("attempt", F.lit(0)), "entities")
     changed = None
     for _ in range(rounds):
-        made = found.withColumn("made", canonical(F.col("kind"), surrogate(F.col("kind"), F.col("raw"), F.col("attempt"), key)))
+        spread = found.repartition(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # few bytes, much work
+        made = spread.withColumn("made", canonical(F.col("kind"), surrogate(F.col("kind"), F.col("raw"), F.col("attempt"), key)))
         made = common.materialize(made, "surrogates")
         shared = made.groupBy("kind", "made").agg(F.min(F.struct("attempt", "form")).alias("stays"), F.count("*").alias("n")).where("n > 1")
         losers = made.join(shared, ["kind", "made"]).where(F.col("form") != F.col("stays.form")).select("kind", "form")
