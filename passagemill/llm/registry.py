@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, packing, pii, secret_scan, simhash, warc_zip
+from . import decontam, exact_dedup, langid, line_dedup, packing, pii, secret_scan, simhash, toxicity, warc_zip
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -11,6 +11,9 @@ QUERIES = {
     "op4_warc_zip": warc_zip.op4_warc_zip,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_line_dedup": line_dedup.op6_line_dedup,
+    "op7_language_id": langid.op7_language_id,
+    "op8_toxicity": toxicity.op8_toxicity,
+    "op9_decontamination": decontam.op9_decontamination,
     "op10_pii_surrogates": pii.op10_pii_surrogates,
 }
 
