@@ -35,7 +35,7 @@ from . import common
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 #: Rows to learn from, entries of the lexicon, contexts and odds that an entry needs, lengths of word beginnings.
-SAMPLE, LEXICON, MIN_CONTEXTS, MIN_ODDS, STEMS = 20_000, 2000, 5, 12.0, (4, 5, 6, 7)
+SAMPLE, LEXICON, MIN_CONTEXTS, MIN_ODDS, STEMS = 20_000, 2000, 5, 60.0, (4, 5, 6, 7)
 #: Words within which negation, report, target or intent reach a match.
 REACH = 4
 
