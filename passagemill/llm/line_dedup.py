@@ -63,19 +63,20 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
     """Their edit distance if it is at most edits, else more than that: bit-parallel in a diagonal band of 2 * edits + 1.
 
-    Two lines of lengths that differ by more than edits are not compared.
+    Two lines of lengths that differ by more than edits are not compared. a and b should be columns that exist already, as
+    the expression names them often.
     """
     k, mask = edits, (1 << 2 * edits + 1) - 1
     pad = "\x01" * (edits + 1)
     x, y = F.split(F.concat(F.lit(pad), a), ""), F.split(F.concat(F.lit(pad), b), "")
-    n = F.size(x)
-
-    def step(s: Column, c: Column) -> Column:
-        at = s["i"]
-        match = F.lit(0)
-        for t in range(-k, k + 1):
-            match = match + F.when((at + t >= 0) & (F.get(x, at + t) == c), 1 << (k + t)).otherwise(0)
-        vp, vn = s["vp"], s["vn"]
+    n = F.length(a) + edits + 1
+
+    def band(c: Column, at: Column) -> Column:  # which of a's characters around the diagonal equal b's character
+        same = [F.when((at + t >= 0) & (F.get(x, at + t) == c), 1 << (k + t)).otherwise(0) for t in range(-k, k + 1)]
+        return sum(same[1:], same[0])
+
+    def step(s: Column, match: Column) -> Column:
+        at, vp, vn = s["i"], s["vp"], s["vn"]
         d0 = ((match.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(match).bitwiseOR(vn).bitwiseAND(F.lit(mask))
         hp = vn.bitwiseOR(d0.bitwiseOR(vp).bitwiseXOR(F.lit(mask)))
         hn = d0.bitwiseAND(vp)
@@ -92,26 +93,32 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
         )
 
     start = F.struct(F.lit(0).alias("i"), F.lit(mask & ~((1 << k) - 1)).alias("vp"), F.lit(0).alias("vn"), F.lit(k).alias("d"))
-    return F.when(F.abs(n - F.size(y)) <= edits, F.aggregate(y, start, step, lambda s: s["d"])).otherwise(edits + 1)
+    return F.when(F.abs(F.length(a) - F.length(b)) <= edits, F.aggregate(F.transform(y, band), start, step, lambda s: s["d"])).otherwise(edits + 1)
 
 
-def alike(a: Column, b: Column, edits: int) -> Column:
-    """Whether two lines are within the distance: blocks equal from either end are left out, the rest is verified."""
-    short = F.least(F.length(a), F.length(b))
-    width = F.greatest(F.lit(1), F.ceil(short / BLOCKS).cast("int"))
-    full = (short / width).cast("int")  # whole blocks that both lines have
+def with_distance(pairs: DataFrame, edits: int) -> DataFrame:
+    """pairs (a, b, ..) with distance: null if the blocks already tell that it is more than edits.
+
+    Blocks equal from either end are left out, the rest is verified. Each step is a projection of its own, so that none repeats another's expressions.
+    """
+    a, b, left, width, full = (F.col(c) for c in ("a", "b", "left", "width", "full"))
 
     def run(block) -> Column:  # how many of the first blocks are equal
         same = F.transform(F.sequence(F.lit(1), F.lit(BLOCKS)), lambda i: F.when((i <= full) & (block(a, i) == block(b, i)), 0).otherwise(1))
         at = F.array_position(same, 1)
         return F.when(at == 0, F.lit(BLOCKS)).otherwise((at - 1).cast("int"))
 
-    left = run(lambda x, i: F.substring(x, (i - 1) * width + 1, width))
-    right = F.least(run(lambda x, i: F.substring(x, F.length(x) - i * width + 1, width)), full - left)
-    rest = lambda x: F.substring(x, left * width + 1, F.length(x) - (left + right) * width)
+    short = F.least(F.length("a"), F.length("b"))
+    out = pairs.withColumn("short", short).withColumn("width", F.greatest(F.lit(1), F.ceil(F.col("short") / BLOCKS).cast("int")))
+    out = out.withColumn("full", (F.col("short") / width).cast("int"))  # whole blocks that both lines have
+    out = out.withColumn("left", run(lambda x, i: F.substring(x, (i - 1) * width + 1, width)))
+    out = out.withColumn("right", F.least(run(lambda x, i: F.substring(x, F.length(x) - i * width + 1, width)), full - left))
+    out = out.withColumn("equal", (left + F.col("right")) * width)
     # one edit touches one block, two if it moves what follows, and what is no whole block
-    near = (short - (left + right) * width <= 2 * width) if edits == 1 else F.lit(True)
-    return near & (banded_distance(rest(a), rest(b), edits) <= edits)
+    near = (F.col("short") - F.col("equal") <= 2 * width) if edits == 1 else F.lit(True)
+    rest = lambda x: F.when(near, F.substring(x, left * width + 1, F.length(x) - F.col("equal")))
+    out = out.withColumns({"x": rest(a), "y": rest(b)})
+    return out.withColumn("distance", banded_distance(F.col("x"), F.col("y"), edits)).select(*pairs.columns, "distance")
 
 
 def _digest(x: Column) -> Column:
@@ -157,7 +164,9 @@ def line_links(lines: DataFrame, texts, edits: int, hot: int) -> DataFrame:
     known = common.materialize(texts(needed), "candidate-lines")
     both = pairs.join(known.select(F.col("d").alias("u"), F.col("line").alias("a")).hint("merge"), "u")
     both = both.join(known.select(F.col("d").alias("v"), F.col("line").alias("b")).hint("merge"), "v")
-    found = both.where(alike(F.col("a"), F.col("b"), edits)).select("u", "v")
+    # written before they are filtered: a filter would be pushed below the steps and repeat them
+    told = common.materialize(with_distance(both, edits).select("u", "v", "distance"), "line-distances")
+    found = told.where(F.col("distance") <= edits).select("u", "v")
     if edits > 1:
         return found
     held = known.join(crowded.hint("merge"), "d", "left_semi")
