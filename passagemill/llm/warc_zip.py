@@ -1,6 +1,7 @@
 """WARC records in ZIP-packaged archives: a writer, and a reader that needs no extraction.
 
-An archive is a ZIP file with two stored members: the WARC records, and an index of their offsets and lengths.
+An archive is a ZIP file with two stored members: the WARC records, each a gzip member of its own as usual, and an index of
+their offsets and lengths.
 The reader takes the end-of-directory record (and its ZIP64 form, where a count or offset doesn't fit) from the file's
 tail, parses the central directory, finds the members' bytes through their local headers, reads the index member, and
 range-reads the records it names. Archives are read as blocks of records, so one large archive is many tasks' work.
@@ -20,6 +21,7 @@ the largest id are all responses; an empty table gives an empty table; other col
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import struct
@@ -36,8 +38,8 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Bytes of records after which a task starts another archive; records and bytes of one read task's block.
-ARCHIVE_BYTES, BLOCK_RECORDS, BLOCK_BYTES = 64 << 20, 512, 8 << 20
-DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
+ARCHIVE_BYTES, BLOCK_RECORDS, BLOCK_BYTES, LEVEL = 64 << 20, 512, 8 << 20, 3
+DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -99,6 +101,7 @@ class ArchiveWriter:
         self.member, self.at = self.zip.open(DATA, "w", force_zip64=True), 0
 
     def add(self, data: bytes) -> None:
+        data = gzip.compress(data, LEVEL, mtime=0)
         self.member.write(data)
         self.index.append((self.at, len(data)))
         self.at += len(data)
@@ -281,7 +284,7 @@ def _records(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for uri, at, lengths in zip(*(batch.column(i).to_pylist() for i in range(3))):
             with RangeReader(uri) as reader:
-                rows = [read_record(reader.read(a, n)) for a, n in zip(at, lengths)]
+                rows = [read_record(gzip.decompress(reader.read(a, n))) for a, n in zip(at, lengths)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["id", "bytes", "digest", "type", "refers"])
 
 
