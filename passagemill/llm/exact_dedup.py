@@ -70,15 +70,15 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     members = normalised(df, id_col, text_col, False)
     clashing = found.groupBy("digest").count().where("count > 1").select("digest")
     if clashing.isEmpty():
-        joined = members.join(found, "digest")
+        joined = members.join(found.hint("merge"), "digest")
     else:  # two texts of one digest: their rows are told apart by content
         by_content = normalised(df, id_col, text_col, True).join(clashing, "digest", "left_semi")
         exact = groups(df, id_col, text_col, salts).join(clashing, "digest", "left_semi")
         joined = (
             members.join(clashing, "digest", "left_anti")
-            .join(found, "digest")
+            .join(found.hint("merge"), "digest")
             .select("id", "digest", "keep_id", "group_size")
-            .unionByName(by_content.join(exact, ["digest", "content"]).select("id", "digest", "keep_id", "group_size"))
+            .unionByName(by_content.join(exact.hint("merge"), ["digest", "content"]).select("id", "digest", "keep_id", "group_size"))
         )
     return joined.select(
         F.col("id").alias(id_col),

@@ -89,7 +89,7 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     rows = common.materialize(rows.withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
     each = rows.where(F.size("found") > 0).select("row", "repository", F.explode("found").alias("x"))
     each = each.select("row", "repository", F.col("x.s").alias("s"), F.col("x.k").alias("k"), F.col("x.e").alias("e"), F.col("x.h").alias("h"), F.col("x.live").alias("looks"))
-    judged = each.join(ownership(each.select("h", "repository")), "h").withColumn("live", F.col("looks") & (F.col("n_owners") <= max_owners))
+    judged = each.join(ownership(each.select("h", "repository")).hint("merge"), "h").withColumn("live", F.col("looks") & (F.col("n_owners") <= max_owners))
     verdicts = judged.groupBy("row").agg(
         F.collect_list(F.when(F.col("live") & (F.col("k") == 3), F.struct("s", "k", "e"))).alias("added"),
         F.count_if("live").alias("n_live"),
@@ -98,7 +98,7 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     base = F.transform(F.filter("found", lambda x: x["k"] < 3), lambda x: F.struct(x["s"], x["k"], x["e"]))
     number = lambda k: F.size(F.filter("found", lambda x: x["k"] == k)).cast("long")
     nothing = F.array().cast("array<struct<s:int,k:int,e:int>>")
-    return rows.join(verdicts, "row", "left").select(
+    return rows.join(verdicts.hint("merge"), "row", "left").select(
         F.col("id").alias(id_col),
         number(0).alias("n_assign"),
         number(1).alias("n_access"),
@@ -112,3 +112,33 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
 
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:
     return secret_scan(common.table(spark, sf_dir, "documents"))
+
+
+def _oracle() -> str:
+    """The same in DuckDB. Its regular expressions have no look-behind, which greedy runs don't need."""
+    patterns = (ASSIGN, ACCESS, HEX, OPAQUE.partition(")")[2])
+    quoted = ["'" + p.replace("'", "''") + "'" for p in patterns]
+    found = " UNION ALL ".join(
+        f"SELECT rk, source, {k} AS k, string_split_regex(text, {q}) AS gaps, regexp_extract_all(text, {q}) AS hits, regexp_extract_all(text, {q}, {2 if k == 0 else 0}) AS vals FROM d WHERE regexp_matches(text, {q})"
+        for k, q in enumerate(quoted)
+    )
+    shown = "string_agg(list_value('assign', 'access', 'hex', 'opaque')[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k, e)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rk, doc_id, source, coalesce(text, '') AS text FROM documents),
+m AS ({found}),
+u AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+f AS (SELECT rk, source, k, vals[i] AS v, hits[i] AS hit,
+        (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0))::INT AS s FROM u),
+c AS (SELECT *, (s + length(hit))::INT AS e FROM f
+      WHERE CASE k WHEN 0 THEN length(v) >= {MIN_VALUE} WHEN 3 THEN regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') ELSE true END),
+o AS (SELECT v, count(DISTINCT split_part(source, '/', 1)) AS owners FROM c GROUP BY v),
+j AS (SELECT c.*, owners, owners <= {MAX_OWNERS} AND len(list_distinct(string_split(v, ''))) >= {MIN_DISTINCT} AND NOT regexp_matches(v, '{PLACEHOLDER}') AS live FROM c JOIN o USING (v)),
+g AS (SELECT rk, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+        {shown} FILTER (k < 3) AS base, {shown} FILTER (k < 3 OR live) AS spans, count(*) FILTER (live) AS n_live, count(*) FILTER (owners > {MAX_OWNERS}) AS n_copied FROM j GROUP BY rk)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN g USING (rk)
+"""
+
+
+SQL = {"op1_secret_scan": _oracle()}
