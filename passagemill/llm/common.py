@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_KEY = "spark.checkpoint.dir"
+from ..sources.scratch import discard, materialize, scratch_path
+
+__all__ = ["ascii_lower", "bound_batches", "discard", "materialize", "scratch_path", "table"]
+
 #: Bytes of an Arrow batch sent to a Python worker; bounds its memory whatever the texts' lengths.
 ARROW_BATCH_BYTES = 8 << 20
 
@@ -19,27 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see. Only where the cluster names none (tests), a temporary one is set."""
-    found = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="passagemill-")
-        spark.conf.set(CHECKPOINT_KEY, found)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/passagemill/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage is cut, lost executors lose nothing."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bound_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches by bytes, as a batch of long texts would else not fit in a Python worker."""
     for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES),):

@@ -32,7 +32,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     links = common.materialize(links, "links")
     before = None
     for _ in range(rounds):
-        links = common.materialize(_small_star(_large_star(links).distinct()).distinct(), "links")
+        done, links = links, common.materialize(_small_star(_large_star(links).distinct()).distinct(), "links")
+        common.discard(done)
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return links.select("u", F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())

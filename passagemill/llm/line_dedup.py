@@ -191,7 +191,8 @@ def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def texts(digests: DataFrame) -> DataFrame:
         every = _long_lines(df, id_col, text_col, min_chars).select(_digest(F.col("line")).alias("d"), "line")
-        return every.join(digests.hint("merge"), "d", "left_semi").groupBy("d").agg(F.first("line").alias("line"))
+        # equal lines become one before the shuffle, so a line of very many documents is a few rows
+        return every.groupBy("d").agg(F.first("line").alias("line")).join(digests.hint("merge"), "d", "left_semi")
 
     roots = components(line_links(distinct.select("d", "own", "probes"), texts, edits, hot)).select(F.col("u").alias("d"), "root")
     classes = distinct.select("d", "first", "n").join(roots.hint("merge"), "d", "left")
