@@ -11,14 +11,37 @@ KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
+    """The folder the cluster names; only where it names none (tests), a temporary one is set."""
     found = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY)
-    if not found:  # only where no cluster names one
+    if not found:
         found = "file://" + tempfile.mkdtemp(prefix="passagemill-")
         spark.conf.set(KEY, found)
     return found.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/passagemill/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    path = f"{shared_dir(df.sparkSession)}/passagemill/{name}-{uuid.uuid4().hex}"
+    """Write df as a table in the shared folder and read it back: lineage is cut, lost executors lose nothing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of materialize() that no frame in use reads any more."""
+    spark, path = df.sparkSession, df.__dict__.get("_scratch")
+    if path:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_all(spark: SparkSession) -> None:
+    """Delete all scratch tables in the shared folder: for the end of a job that no other job shares the folder with."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/passagemill")
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
