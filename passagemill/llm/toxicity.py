@@ -207,7 +207,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     told = labels.where((fold != HELD_OUT) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("label"))
     told = told.groupBy("key").agg(F.max("label").alias("label")).orderBy(F.xxhash64("key"), "key").limit(sample)
     # at most `sample` ids and labels, so the broadcast is bounded by that parameter
-    rows = df.join(F.broadcast(told), F.col(id_col) == F.col("key")).select(F.col(text_col).cast("string").alias("text"), "label")
+    rows = df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(told), "key").select("text", "label")
     rows = common.materialize(rows, "toxicity-sample")
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
