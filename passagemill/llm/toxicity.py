@@ -212,7 +212,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not toxic:
-        prior = 0.5 / (clean + 1)
+        prior = 0.5 / (clean + 2)  # under the threshold even without any label
         return [], [float(np.log(prior / (1 - prior))), *[0.0] * (1 + len(MATCHES))]
     counts = rows.mapInArrow(_document_counts, "entry string, toxic int, n long").groupBy("entry").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")
