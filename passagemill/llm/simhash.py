@@ -143,6 +143,6 @@ def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents alike at 0.8 of their five-word shingles (see `near`), the one with the smallest id stays; columns as they came.
 
-    A bit budget that covers 0.8 leaves segments of five bits, which pair nearly all documents; so this stage doesn't go over fingerprints.
+    A document without an id stays unless a copy stays. A bit budget that covers 0.8 leaves segments of five bits, which pair nearly all documents; so this stage doesn't go over fingerprints.
     """
     return near.near_dedup(docs)
