@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import bind, prefix_sums
+
 BREAK = r"\n[ \t]*\n"
 #: Number words that count as digits.
-NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve".split()
+NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve")
 #: Words that say nothing about which number a role means.
-GENERIC_ROLE_WORDS = "amount expected limit maximum minimum number numeric required requirement rule stop threshold value".split()
+GENERIC_ROLE_WORDS = ("amount", "expected", "limit", "maximum", "minimum", "number", "numeric", "required", "requirement", "rule", "stop", "threshold", "value")
 REACH = 3
 #: Error categories and the words that tell them, in order.
 ERROR_FAMILIES = [
@@ -36,15 +38,14 @@ def has_text(text: Column) -> Column:
 def paragraph_spans(text: Column) -> Column:
     """array<(char_start, char_end, chunk)> of what blank lines separate, untrimmed, without chunks of white space only."""
     pieces, breaks = F.split(text, BREAK, -1), F.regexp_extract_all(text, F.lit(BREAK), F.lit(0))
-    empty = F.array().cast("array<struct<char_start:int,char_end:int,chunk:string>>")
+    items = F.transform(F.arrays_zip(pieces.alias("piece"), breaks.alias("gap")), lambda x: F.struct(x["piece"].alias("chunk"), F.length(x["piece"]).alias("own"), F.coalesce(F.length(x["gap"]), F.lit(0)).alias("gap")))
 
-    def step(done: Column, x: Column) -> Column:
-        end = done["at"] + F.length(x["piece"])
-        span = F.struct(done["at"].alias("char_start"), end.alias("char_end"), x["piece"].alias("chunk"))
-        return F.struct((end + F.coalesce(F.length(x["gap"]), F.lit(0))).alias("at"), F.when(has_text(x["piece"]), F.concat(done["out"], F.array(span))).otherwise(done["out"]).alias("out"))
+    def placed(xs: Column) -> Column:
+        starts = prefix_sums(F.transform(xs, lambda x: x["own"] + x["gap"]))
+        spans = F.zip_with(xs, starts, lambda x, at: F.struct(at.alias("char_start"), (at + x["own"]).cast("int").alias("char_end"), x["chunk"].alias("chunk")))
+        return F.filter(spans, lambda s: has_text(s["chunk"]))
 
-    items = F.arrays_zip(pieces.alias("piece"), breaks.alias("gap"))
-    return F.aggregate(items, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda d: d["out"])
+    return bind(items, placed)
 
 
 def number_words(text: Column) -> Column:
@@ -66,7 +67,7 @@ def _tokens(text: Column) -> Column:
 def role_terms(declared: Column, role: Column) -> Column:
     """The declared terms if there are any, else the words of the role that aren't generic."""
     given = F.filter(F.transform(declared, normalized), lambda t: t != "")
-    own = F.filter(_tokens(normalized(role)), lambda t: ~t.isin(GENERIC_ROLE_WORDS))
+    own = F.filter(_tokens(normalized(role)), lambda t: ~t.isin(*GENERIC_ROLE_WORDS))
     return F.when(declared.isNull() | (F.size(declared) == 0), own).otherwise(given)
 
 
