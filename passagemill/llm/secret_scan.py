@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import bind, prefix_sums
 from . import common
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -40,14 +41,11 @@ def spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
     values = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     items = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(whole)).alias("gap"), F.transform(whole, lambda x: F.length(x)).alias("len"), values.alias("v"))
 
-    def step(done: Column, item: Column) -> Column:
-        start = done["at"] + item["gap"]
-        end = start + item["len"]
-        span = F.struct(start.alias("s"), F.lit(kind).alias("k"), end.alias("e"), item["v"].alias("v"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
+    def placed(xs: Column) -> Column:
+        starts = prefix_sums(F.transform(xs, lambda x: x["gap"] + x["len"]))
+        return F.zip_with(xs, starts, lambda x, at: F.struct((at + x["gap"]).alias("s"), F.lit(kind).alias("k"), (at + x["gap"] + x["len"]).alias("e"), x["v"].alias("v")))
 
-    found = F.aggregate(items, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda done: done["out"])
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    return F.when(text.rlike(pattern), bind(items, placed)).otherwise(empty)
 
 
 def _candidates(text: Column) -> Column:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -56,3 +57,11 @@ def test_empty_nulls_and_clashing_names(spark, docs):
     df = df.withColumn("row", F.lit(1)).withColumn("found", F.lit(2)).withColumn("h", F.lit("x")).withColumn("repository", F.lit("y"))
     got = sorted((str(r.doc_id), r.n_assign, r.spans) for r in secret_scan.secret_scan(df).collect())
     assert got == [("1", 1, "assign:0:13")] * 2 + [("None", 0, "")]
+
+
+def test_many_matches_in_a_text_cost_no_square(spark, docs):
+    n = 20_000
+    text = " ".join("%024x" % (1 << 92 | i) for i in range(n))
+    began = time.time()
+    row = secret_scan.secret_scan(docs([text])).first()
+    assert row.n_hex == n and row.spans.split(",")[-1] == f"hex:{25 * (n - 1)}:{25 * n - 1}" and time.time() - began < 30
