@@ -1,3 +1,6 @@
+import hashlib
+import time
+
 import regex
 from pyspark.sql import functions as F
 
@@ -5,12 +8,14 @@ from passagemill.llm import pii
 
 from .conftest import ODD
 
+SECRET = "k1"
 TEXTS = [
     *ODD,
     "mail A.b-7@Mail5.example.com or a.B-7@mail5.example.com, call +1 (778) 555-8933 or +1 778 555 8933.",
     "card 4349000490986231 or 4349-0004-9098-6231; good 4111 1111 1111 1111, host 78.118.65.158. Not 1.2.3.4.5 or 999.1.1.1",
     "Herr Müller traf Frau Anna Meier-Schulz; Mr. Smith and Mr Smith; Г-н Иванов, Г-жа Иванова; Κύριος Παπαδόπουλος",
     "2024-01-02 and version 1.2 and 12345 stay; a@b stays; (212) 555-0199, 212.555.0198",
+    "Mr John Smith met Mr Smith and Mr John-Paul Smith; +49 30 1234567 is +49301234567, +1-212-555-0199 is +12125550199, +351 21 1234567 is +351211234567",
 ]
 
 
@@ -18,22 +23,11 @@ def found(text):
     return [m[0] for m in regex.finditer(pii.ENTITY, text or "")]
 
 
-def run(spark, df):
-    return {r.doc_id: r for r in pii.redact(df).collect()}
+def run(spark, df, key=SECRET):
+    return {r.doc_id: r for r in pii.redact(df, key=key).collect()}
 
 
-def test_entities_are_replaced_in_place(spark, docs):
-    got = run(spark, docs(TEXTS))
-    for i, text in enumerate(TEXTS):
-        raws, row = found(text), got[i]
-        assert [text[x.s : x.e] for x in row.pii_entities] == raws
-        if not raws:
-            assert row.text == text
-            continue
-        gaps = regex.split(pii.ENTITY, text)
-        assert regex.fullmatch("(.+)".join(map(regex.escape, gaps)), row.text, regex.DOTALL)
-        assert not [x for x in raws if x in row.text]
-        assert [x.kind for x in row.pii_entities] == [kind(x) for x in raws]
+# a model of surrogates, digit by digit
 
 
 def kind(raw):
@@ -48,6 +42,70 @@ def luhn(x):
     return (sum(d[0::2]) + sum(sum(divmod(2 * y, 10)) for y in d[1::2])) % 10 == 0
 
 
+class Stream:
+    def __init__(self, kind, form, attempt=0):
+        self.hex = hashlib.sha512("\x1f".join([SECRET, kind, form, str(attempt), SECRET]).encode()).hexdigest()
+
+    def __call__(self, i, digits=2):
+        at = i * digits % 128
+        return int((self.hex * 2)[at : at + digits], 16)
+
+
+def alike(text, stream, keep=0):
+    out = ""
+    for i, c in enumerate(text):
+        n = stream(i)
+        out += c if i < keep else str(n % 10) if regex.match("[0-9]", c) else chr(97 + n % 26) if regex.match("[a-z]", c) else chr(65 + n % 26) if regex.match("[A-Z]", c) else c
+    return out
+
+
+def spell(raw, digits):
+    left = iter(digits)
+    return "".join(next(left) if c.isdigit() else c for c in raw)
+
+
+def model(raw):
+    k = kind(raw)
+    if k == "email":
+        form = raw.lower()
+        local, domain = form.rsplit("@", 1)
+        top = form.rsplit(".", 1)[1]
+        host = hashlib.sha256(f"{SECRET}\x1f{domain}".encode()).hexdigest()[:10]
+        return f"{alike(local, Stream(k, form))}@h{host}.example.{top if top in ('com', 'net', 'org') else 'org'}"
+    if k == "address":
+        s = Stream(k, raw)
+        return ".".join(map(str, (s(0, 4) % 222 + 1, s(2), s(3), s(4))))
+    if k == "name":
+        title = regex.match(pii.TITLE, raw)[0]
+        gender = "m" if regex.match(f"(?:{pii.MEN})[. ]", raw) else "f"
+        out = title
+        for part in regex.findall(r"[^ -]+[ -]?", raw[len(title) :]):
+            form = f"{gender} {part.rstrip(' -').lower()}"
+            script = "cyrillic" if regex.search(r"\p{Cyrillic}", form) else "greek" if regex.search(r"\p{Greek}", form) else "latin"
+            table, s = pii.SYLLABLES[script], Stream(k, form)
+            made = "".join(table[s(i, 4) % len(table)] for i in range(4)) + pii.ENDINGS[script][gender == "f"]
+            out += made.capitalize() + (part[-1] if part[-1] in " -" else "")
+        return out
+    digits = "".join(c for c in raw if c.isdigit())
+    if k == "card":
+        s = Stream(k, digits)
+        body = alike(digits, s, 1)[:-1]
+        right = next(d for d in range(10) if luhn(f"{body}{d}"))
+        return spell(raw, body + str(right if luhn(digits) else (right + 1 + s(63) % 9) % 10))
+    form = ("+" if raw[0] == "+" else "") + digits
+    code = 1 if digits[0] in "17" else 2 if digits[:2] in "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split() else 3
+    return spell(raw, alike(form, Stream(k, form), code + 1 if raw[0] == "+" else 0).lstrip("+"))
+
+
+def test_every_replacement_is_the_model_s(spark, docs):
+    got = run(spark, docs(TEXTS))
+    for i, text in enumerate(TEXTS):
+        raws, gaps, row = found(text), regex.split(pii.ENTITY, text) if text else [text], got[i]
+        assert [text[x.s : x.e] for x in row.pii_entities] == raws and [x.kind for x in row.pii_entities] == [kind(x) for x in raws]
+        assert row.text == (text if not raws else "".join(g + r for g, r in zip(gaps, [*map(model, raws), ""])))
+        assert not [x for x in raws if x in row.text]
+
+
 def test_types_formats_and_coreference(spark, docs):
     n = len(ODD)
     got = run(spark, docs(TEXTS))
@@ -61,22 +119,49 @@ def test_types_formats_and_coreference(spark, docs):
     names = found(got[n + 2].text)
     assert len(names) == 7 and names[2].split()[1] == names[3].split()[1] and names[0].startswith("Herr ") and "-" in names[1]
     assert regex.fullmatch(r"Г-н \p{Cyrillic}+н", names[4]) and names[5].endswith("на") and regex.fullmatch(r"Κύριος \p{Greek}+ν", names[6])
+    last = found(got[n + 4].text)
+    assert last[0].split()[-1] == last[1].split()[-1] == last[2].split()[-1] and last[0].split()[1] == regex.split("[ -]", last[2])[1]
+    digits = ["".join(c for c in x if c.isdigit()) for x in last[3:]]
+    assert digits[0] == digits[1] and digits[2] == digits[3] and digits[4] == digits[5]
+    assert digits[0].startswith("49") and digits[2].startswith("1") and digits[4].startswith("351")
 
 
-def test_clashes_are_retried(spark, docs, monkeypatch):
-    # addresses of one stream: all share their first surrogate until the attempts differ
-    monkeypatch.setattr(pii, "_address", lambda stream: F.concat(F.lit("10.0.0."), (pii._number(stream, 0) % 40).cast("string")))
-    texts = [f"at 9.9.9.{i} and again 9.9.9.{i}" for i in range(12)] + ["10.0.0.7 occurs"]
+def test_clashes_are_retried_in_every_spelling(spark, docs):
+    # 26 mailboxes of one letter in one domain: most of their first surrogates clash, or occur
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [f"at {c}@same.org and {c.upper()}@Same.org" for c in letters] + ["+1 22 33 is +12233"]
     got = run(spark, docs(texts))
-    made = [found(got[i].text) for i in range(13)]
-    assert all(len(set(x)) == 1 for x in made) and len({x[0] for x in made}) == 13
-    assert "10.0.0.7" not in {x[0] for x in made}
+    made = [found(got[i].text) for i in range(26)]
+    assert all(len(set(x)) == 1 for x in made) and len({x[0] for x in made}) == 26
+    assert any(model(f"{c}@same.org") != made[i][0] for i, c in enumerate(letters))
+    few = found(got[26].text)
+    assert len(few) == 2 and few[0].replace(" ", "") == few[1]
+
+
+def test_key_comes_from_the_session(spark, docs):
+    df = docs(["a@b.org and 78.118.65.158"])
+    spark.conf.unset(pii.KEY)
+    drawn = run(spark, df, None)[0].text
+    assert run(spark, df, None)[0].text == drawn
+    spark.conf.set(pii.KEY, SECRET)
+    assert run(spark, df, None)[0].text == run(spark, df)[0].text != drawn
+    spark.conf.unset(pii.KEY)
+
+
+def test_long_texts(spark, docs):
+    many = " ".join(f"10.{i // 250}.{i % 250}.7" for i in range(20_000))
+    began = time.time()
+    got = run(spark, docs(["a@" + "b." * 100_000 + "com", "a@" + "b" * 70_000 + ".com", "a@" + ".".join(["bb"] * 127), many]))
+    assert time.time() - began < 120
+    assert not got[0].pii_entities and len(got[1].pii_entities) == 1 and len(got[2].pii_entities) == 1
+    assert len(got[3].pii_entities) == 20_000 and got[3].pii_entities[-1].e == len(many)
 
 
 def test_empty_nulls_and_clashing_names(spark, docs):
     assert pii.redact(docs([])).count() == 0
-    df = docs(["a@b.org", None]).withColumn("raws", F.lit(1)).withColumn("held", F.lit(2)).withColumn("tries", F.lit(3)).withColumn("a.b", F.lit(4))
+    df = docs(["a@b.org", None]).withColumn("raws", F.lit(1)).withColumn("held", F.lit(2)).withColumn("tries", F.lit(3)).withColumn("a.b", F.lit(4)).withColumn("row", F.lit(5))
     rows = pii.redact(df).collect()
     assert rows[0].__fields__ == [*df.columns, "pii_entities"] and {r["raws"] for r in rows} == {1}
+    assert pii.redact(df.select("text")).count() == 2
     twice = spark.createDataFrame([(None, "x@y.com"), (None, "x@y.com")], "doc_id long, text string")
     assert len({r.text for r in pii.redact(twice).collect()}) == 1
