@@ -1,19 +1,22 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are mapped to classes: insult and threat (learned), target, negation and reported speech (fixed lists), and the rest. A
-clause is what stands between sentence marks and line breaks. Small transducers run over a clause's classes, each a table
-of (state, class) -> (next state, output):
+Words are mapped to classes: insult and threat (learned), harm, intent, target, negation and reported speech (fixed lists), and the
+rest. A clause is what stands between sentence marks and line breaks. Transducers, tables of (state, symbol) -> (next state,
+symbol, weight), rewrite a clause's symbols one after the other:
 
-* threat: a threat verb, or an intent ("will", "going to") and a harm word within a few words;
-* insult: an insult, stronger with a target ("you", "du", "tu", ...) a few words before or after;
-* negation and reported speech: a few words before, they open a scope that turns a match into a weaker one.
+* AIM, NEGATION, REPORT, INTENT: for some words after a target, negation, word of reporting or intent, they mark insults, threats and harms;
+* INSULT: an insult becomes a match: negated, reported, targeted or plain;
+* THREAT: a threat, or a harm that is intended, becomes a match: negated, reported or a threat.
 
-They are composed: negation and report set the scope, and the matches read it, so a clause yields weighted matches (insult, targeted,
-negated, reported, threat), never isolated words. A document's score is logistic in the logarithms of its matches' numbers.
+`compose` makes one machine of them, which reads a clause once; a target behind a match is marked before that by AIM running
+from right to left. Arcs that write a match carry the match's weight, and a clause's score is the sum of its arcs' weights: isolated
+words have none. A document's score is logistic in whether any clause matched and in the logarithm of its clauses' scores.
 
 What is learned, on labelled rows whose crc32(id as text) mod 4 is not 2, at most `sample` of them (those of the smallest
-hashes): the insult lexicon, that is words and word beginnings that stand in toxic texts in many different contexts (the words before and
-after, so that copies of one text count once) and hardly in others; and the weights. The lexicon has at most `lexicon` entries.
+hashes): the lexicon, that is words and word beginnings that stand in toxic texts in many different contexts (the words before and
+after, so that copies of one text count once) and hardly in others; which of its entries are threats (most of their places in toxic texts
+follow an intent); the matches' weights (log odds) and the logistic's. How much likelier an entry must be in toxic texts is
+chosen among `ODDS` by cross-validation within these rows.
 
 Defined cases: null text = empty text, scored as a text without matches; null ids are hashed as an empty text; no usable labels
 = the lexicon is empty and every score is the prior; repeated rows get a row each; an empty table gives an empty table;
@@ -34,109 +37,159 @@ from pyspark.sql import functions as F
 from . import common
 
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
-#: Rows to learn from, entries of the lexicon, contexts and odds that an entry needs, lengths of word beginnings.
-SAMPLE, LEXICON, MIN_CONTEXTS, MIN_ODDS, STEMS = 20_000, 2000, 5, 60.0, (4, 5, 6, 7)
+#: Rows to learn from, contexts that an entry needs, lengths of word beginnings.
+SAMPLE, MIN_CONTEXTS, STEMS = 20_000, 5, (4, 5, 6, 7)
+#: Odds that cross-validation chooses from, and its folds.
+ODDS, PARTS = (4.0, 8.0, 16.0, 32.0, 64.0, 128.0, 256.0), 5
 #: Words within which negation, report, target or intent reach a match.
 REACH = 4
+#: Words that a worker remembers to be of no class that matches.
+REMEMBERED = 500_000
 
 # Closed word classes in English, German, French and Spanish.
-TARGETS = frozenset("you your you're yourself u ur he she they them him her du dich dir ihr euch sie tu te toi vous lui elle ils tú ti usted ustedes vosotros él ella ellos".split())
-NEGATIONS = frozenset("not never no nobody isn't aren't don't doesn't didn't cannot can't nicht kein keine keiner nie niemals pas jamais aucun nunca jamás tampoco".split())
-REPORTS = frozenset("said says say told tells called calls quoted reported wrote according sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó".split())
-INTENTS = frozenset("will gonna going shall i'll we'll werde wirst vais va voy vas".split())
-HARMS = frozenset("kill hurt destroy beat shoot stab murder töten umbringen schlagen tuer frapper matar golpear".split())
+WORDS = {
+    "target": ("you", "your", "you're", "yourself", "u", "ur", "he", "she", "they", "them", "him", "her", "du", "dich", "dir", "ihr", "euch", "sie", "tu", "te", "toi", "vous", "lui", "elle", "ils", "tú", "ti", "usted", "ustedes", "vosotros", "él", "ella", "ellos"),
+    "negation": ("not", "never", "no", "nobody", "isn't", "aren't", "don't", "doesn't", "didn't", "cannot", "can't", "nicht", "kein", "keine", "keiner", "nie", "niemals", "pas", "jamais", "aucun", "nunca", "jamás", "tampoco"),
+    "report": ("said", "says", "say", "told", "tells", "called", "calls", "quoted", "reported", "wrote", "according", "sagte", "sagt", "schrieb", "nannte", "dit", "disait", "écrit", "appelé", "dijo", "dice", "escribió", "llamó"),
+    "intent": ("will", "gonna", "going", "shall", "i'll", "we'll", "werde", "wirst", "vais", "va", "voy", "vas"),
+    "harm": ("kill", "hurt", "destroy", "beat", "shoot", "stab", "murder", "töten", "umbringen", "schlagen", "tuer", "frapper", "matar", "golpear"),
+}
+FIXED = {word: name for name, words in WORDS.items() for word in words}
 
 CLAUSE = re.compile(r"[.!?;:\n]+")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
+CLASSES = ("insult", "threat", *WORDS, "other")
+MARKABLE = ("insult", "threat", "harm")
 MATCHES = ("insult", "targeted", "negated", "reported", "threat")
 
+Symbol = tuple[str, frozenset]
 
-class Transducer:
-    """(state, class) -> (next state, output); a missing entry goes to `rest` of the state, without output."""
 
-    def __init__(self, start: str, rules: dict[tuple[str, str], tuple[str, str | None]], rest: dict[str, str]):
-        self.start, self.rules, self.rest = start, rules, rest
+# The transducers
 
-    def run(self, classes: list[str]) -> list[str | None]:
-        state, out = self.start, []
-        for c in classes:
-            state, told = self.rules.get((state, c), (self.rest.get(state, self.start), None))
-            out.append(told)
-        return out
 
+class Transducer:
+    """A complete, deterministic table: arcs[state, symbol] = (next state, symbol, weight). A weight is a match's name or nothing."""
 
-def _scope(opener: str, name: str) -> Transducer:
-    """Outputs `name` for the `REACH` words after an opener."""
-    states = ["off", *(f"{opener}{k}" for k in range(REACH, 0, -1))]
-    rest = {"off": "off", **{states[k]: states[k + 1] if k < REACH else "off" for k in range(1, REACH + 1)}}
-    rules: dict = {(s, opener): (states[1], None) for s in states}
-    for s in states[1:]:
-        for c in ("insult", "threat", "harm", "target", "negation", "report", "intent", "other"):
-            if c != opener:
-                rules[s, c] = (rest[s], name)
-    return Transducer("off", rules, rest)
+    def __init__(self, start, arcs: dict):
+        self.start, self.arcs = start, arcs
 
+    def run(self, symbols: list[Symbol]) -> list[tuple[Symbol, str | None]]:
+        state, out = self.start, []
+        for x in symbols:
+            state, y, weight = self.arcs[state, x]
+            out.append((y, weight))
+        return out
 
-NEGATED, REPORTED, INTENDED, AIMED = _scope("negation", "negated"), _scope("report", "reported"), _scope("intent", "intended"), _scope("target", "targeted")
+    def outputs(self) -> set[Symbol]:
+        return {y for _, y, _ in self.arcs.values()}
+
+
+def scope(opener: str, mark: str, symbols: set[Symbol]) -> Transducer:
+    """Marks what can match within `REACH` words after an opener; the state is the number of words that are left."""
+    arcs = {}
+    for left in range(REACH + 1):
+        for name, marks in symbols:
+            told = (name, marks | {mark}) if left and name in MARKABLE else (name, marks)
+            arcs[left, (name, marks)] = (REACH if name == opener else max(0, left - 1), told, None)
+    return Transducer(0, arcs)
+
+
+def matcher(names: tuple[str, ...], plain: str, needs: dict[str, str], aimed: bool, symbols: set[Symbol]) -> Transducer:
+    """Writes a match, with its weight, for each symbol of these names; one that needs a mark and hasn't it is let through."""
+    arcs = {}
+    for name, marks in symbols:
+        arc = (0, (name, marks), None)
+        if name in names and (name not in needs or needs[name] in marks):
+            kind = "negated" if "negated" in marks else "reported" if "reported" in marks else "targeted" if aimed and "aimed" in marks else plain
+            arc = (0, ("match", frozenset({kind})), kind)
+        arcs[0, (name, marks)] = arc
+    return Transducer(0, arcs)
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The transducer that does what second does with first's output."""
+    start, arcs = (first.start, second.start), {}
+    symbols, todo, seen = {x for _, x in first.arcs}, [start], {start}
+    while todo:
+        state = todo.pop()
+        for x in symbols:
+            one, y, a = first.arcs[state[0], x]
+            two, z, b = second.arcs[state[1], y]
+            arcs[state, x] = ((one, two), z, b or a)
+            if (one, two) not in seen:
+                seen.add((one, two))
+                todo.append((one, two))
+    return Transducer(start, arcs)
+
+
+def _grammar() -> tuple[Transducer, Transducer]:
+    """(AIM from right to left, all others composed)."""
+    plain = {(c, frozenset()) for c in CLASSES}
+    behind = scope("target", "aimed", plain)
+    machine = scope("target", "aimed", behind.outputs())
+    for opener, mark in (("negation", "negated"), ("report", "reported"), ("intent", "intended")):
+        machine = compose(machine, scope(opener, mark, machine.outputs()))
+    machine = compose(machine, matcher(("insult",), "insult", {}, True, machine.outputs()))
+    return behind, compose(machine, matcher(("threat", "harm"), "threat", {"harm": "intended"}, False, machine.outputs()))
+
+
+BEHIND, MACHINE = _grammar()
+_PLAIN = {c: (c, frozenset()) for c in CLASSES}
 
 
 def matches(classes: list[str]) -> Counter:
-    """The composed transducers' matches in one clause."""
-    negated, reported, intended, aimed = (t.run(classes) for t in (NEGATED, REPORTED, INTENDED, AIMED))
-    behind = AIMED.run(classes[::-1])[::-1]  # a target after the match
-    found: Counter = Counter()
-    for i, c in enumerate(classes):
-        if c == "threat" or c == "harm" and intended[i]:
-            found["negated" if negated[i] else "reported" if reported[i] else "threat"] += 1
-        elif c == "insult":
-            found[negated[i] or reported[i] or aimed[i] or behind[i] or "insult"] += 1
-    return found
+    """The matches that the machine's arcs write in one clause."""
+    marked = [y for y, _ in BEHIND.run([_PLAIN[c] for c in reversed(classes)])]
+    return Counter(kind for _, kind in MACHINE.run(marked[::-1]) if kind)
 
 
 class Grammar:
     """The word classes, and the matches of a text."""
 
-    def __init__(self, lexicon: list[str]):
-        self.words = frozenset(x for x in lexicon if not x.endswith("*"))
-        self.stems = {n: frozenset(x[:-1] for x in lexicon if x.endswith("*") and len(x) == n + 1) for n in STEMS}
-        self.stems = {n: s for n, s in self.stems.items() if s}
-
-    def insulting(self, word: str) -> bool:
-        return word in self.words or any(word[:n] in s and len(word) > n for n, s in self.stems.items())
+    def __init__(self, lexicon: dict[str, str]):
+        """lexicon: entry -> insult or threat; an entry that ends in * is a word beginning."""
+        self.words = {x: k for x, k in lexicon.items() if not x.endswith("*")}
+        stems = {n: {x[:-1]: k for x, k in lexicon.items() if x.endswith("*") and len(x) == n + 1} for n in STEMS}
+        self.stems = {n: s for n, s in stems.items() if s}
+        self.plain: set[str] = set()
 
     def kind(self, word: str) -> str:
-        if self.insulting(word):
-            return "insult"
-        for name, words in (("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS), ("intent", INTENTS), ("harm", HARMS)):
-            if word in words:
-                return name
-        return "other"
+        if word in self.words:
+            return self.words[word]
+        for n, stems in self.stems.items():
+            if len(word) > n and word[:n] in stems:
+                return stems[word[:n]]
+        return FIXED.get(word, "other")
 
     def __call__(self, text: str | None) -> Counter:
         text = (text or "").lower()
-        distinct = set(WORD.findall(text))
-        marked = {w for w in distinct if self.insulting(w)} | (distinct & HARMS)
+        new = set(WORD.findall(text)) - self.plain
+        marked = {w for w in new if self.kind(w) in MARKABLE}
+        if len(self.plain) > REMEMBERED:
+            self.plain.clear()
+        self.plain |= new - marked
         found: Counter = Counter()
-        if not marked:
-            return found
-        for clause in CLAUSE.split(text):
-            words = WORD.findall(clause)
-            if not marked.isdisjoint(words):
-                found += matches([self.kind(w) for w in words])
+        if marked:
+            for clause in CLAUSE.split(text):
+                words = WORD.findall(clause)
+                if not marked.isdisjoint(words):
+                    found += matches([self.kind(w) for w in words])
         return found
 
 
-def features(found: Counter) -> list[float]:
-    total = sum(found[m] for m in MATCHES)
-    return [1.0, float(total > 0), *(float(np.log1p(found[m])) for m in MATCHES)]
-
-
 class Model:
-    def __init__(self, lexicon: list[str], weights: list[float]):
-        self.grammar, self.weights = Grammar(lexicon), np.array(weights)
+    def __init__(self, lexicon: dict[str, str], arcs: dict[str, float], weights: list[float]):
+        """arcs: the weight of a match; weights: of one, of any match, of the logarithm of the clauses' scores."""
+        self.grammar, self.arcs, self.weights = Grammar(lexicon), arcs, np.array(weights)
 
     def score(self, text: str | None) -> float:
-        return float(1 / (1 + np.exp(-np.clip(np.dot(self.weights, features(self.grammar(text))), -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.weights @ features(self.grammar(text), self.arcs), -30, 30))))
+
+
+def features(found: Counter, arcs: dict[str, float]) -> np.ndarray:
+    total = sum(n * arcs.get(kind, 0.0) for kind, n in found.items())
+    return np.array([1.0, float(bool(found)), np.log1p(total)])
 
 
 # Learning
@@ -146,37 +199,61 @@ def _entries(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
 
 
+def _held(text: str | None) -> set[str]:
+    return {e for w in set(WORD.findall((text or "").lower())) for e in _entries(w)}
+
+
 def _document_counts(batches):
-    """(entry, toxic, n): documents of the batch that hold the entry."""
+    """(entry, toxic, part, n): documents of the batch that hold the entry."""
     for batch in batches:
-        counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            counts[toxic].update({e for w in set(WORD.findall((text or "").lower())) for e in _entries(w)})
-        for toxic, held in counts.items():
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([toxic] * len(held), pa.int32()), pa.array(list(held.values()), pa.int64())], ["entry", "toxic", "n"])
+        counts: dict[tuple[int, int], Counter] = {}
+        for text, toxic, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            counts.setdefault((toxic, part), Counter()).update(_held(text))
+        for (toxic, part), held in counts.items():
+            columns = [pa.array(list(held), pa.string()), pa.array([toxic] * len(held), pa.int32()), pa.array([part] * len(held), pa.int32()), pa.array(list(held.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["entry", "toxic", "part", "n"])
 
 
 def _contexts(entries: frozenset):
     def run(batches):
-        """(entry, context): the words around, for each place in toxic texts."""
+        """(entry, context, intended): the words around, for each place in toxic texts, and whether an intent is before it."""
         for batch in batches:
             out = set()
             for text in batch.column(0).to_pylist():
                 words = ["", *WORD.findall((text or "").lower()), ""]
-                for a, w, b in zip(words, words[1:], words[2:]):
-                    out.update((e, zlib.crc32(f"{a}\x1f{b}".encode())) for e in _entries(w) if e in entries)
+                for i in range(1, len(words) - 1):
+                    able = [e for e in _entries(words[i]) if e in entries]
+                    if able:
+                        context = zlib.crc32(f"{words[i - 1]}\x1f{words[i + 1]}".encode())
+                        intended = any(FIXED.get(w) == "intent" for w in words[max(0, i - REACH) : i])
+                        out.update((e, context, intended) for e in able)
             rows = sorted(out)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], ["entry", "context"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.bool_())], ["entry", "context", "intended"])
 
     return run
 
 
-def _matched(lexicon: list[str]):
+def _best_odds(odds: dict[str, list[float]]):
+    def run(batches):
+        """(label, best, n): the highest odds of an entry of the row, as the rows of the other parts tell them."""
+        for batch in batches:
+            rows = Counter()
+            for text, label, part in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                rows[label, max((odds[e][part] for e in _held(text) if e in odds), default=0.0)] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.float64()), pa.array(list(rows.values()), pa.int64())], ["label", "best", "n"])
+
+    return run
+
+
+def _matched(lexicon: dict[str, str]):
     def run(batches):
         grammar = Grammar(lexicon)
         for batch in batches:
-            rows = Counter((toxic, *features(grammar(t))) for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays([pa.array([[float(x) for x in r] for r in rows], pa.list_(pa.float64())), pa.array(list(rows.values()), pa.int64())], ["row", "n"])
+            rows: Counter = Counter()
+            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = grammar(text)
+                rows[(label, *(found[m] for m in MATCHES))] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([list(r) for r in rows], pa.list_(pa.int64())), pa.array(list(rows.values()), pa.int64())], ["row", "n"])
 
     return run
 
@@ -200,53 +277,84 @@ def logistic(rows: np.ndarray, labels: np.ndarray, n: np.ndarray, ridge: float =
         held &= ~bad
 
 
-def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE, lexicon: int = LEXICON) -> tuple[list[str], list[float]]:
-    """(lexicon, weights)."""
+def log_odds(t: float, c: float, toxic: int, clean: int) -> float:
+    return float(np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1)))
+
+
+def choose_odds(told: list[tuple[int, float, int]], odds: tuple[float, ...] = ODDS) -> float:
+    """The odds at which 'some entry is that likely' tells the labels best (F1); the higher of equals. told: (label, best, n)."""
+
+    def f1(least: float) -> float:
+        hit = sum(n for label, best, n in told if label and best >= least)
+        wrong = sum(n for label, best, n in told if bool(label) != (best >= least))
+        return 2 * hit / max(1, 2 * hit + wrong)
+
+    return max(odds, key=lambda o: (f1(o), o))
+
+
+def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> tuple[dict[str, str], dict[str, float], list[float]]:
+    """(lexicon, weights of matches, weights of the logistic): what a Model takes. All that is collected is bounded by the sample."""
     common.bound_batches(df.sparkSession)
     fold = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS
     told = labels.where((fold != HELD_OUT) & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("label"))
     told = told.groupBy("key").agg(F.max("label").alias("label")).orderBy(F.xxhash64("key"), "key").limit(sample)
+    told = told.withColumn("part", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(PARTS)).cast("int"))
     # at most `sample` ids and labels, so the broadcast is bounded by that parameter
-    rows = df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(told), "key").select("text", "label")
+    rows = df.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(told), "key").select("text", "label", "part")
     rows = common.materialize(rows, "toxicity-sample")
-    totals = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    clean, toxic = totals.get(0, 0), totals.get(1, 0)
+    totals = Counter()
+    for r in rows.groupBy("label", "part").agg(F.count("*").alias("n")).collect():
+        totals[r.label, r.part], totals[r.label] = r.n, totals[r.label] + r.n
+    toxic, clean = totals[1], totals[0]
     if not toxic:
         prior = 0.5 / (clean + 2)  # under the threshold even without any label
-        return [], [float(np.log(prior / (1 - prior))), *[0.0] * (1 + len(MATCHES))]
-    counts = rows.mapInArrow(_document_counts, "entry string, toxic int, n long").groupBy("entry").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c")
+        return {}, {}, [float(np.log(prior / (1 - prior))), 0.0, 0.0]
+    of = lambda label, part: F.sum(F.when((F.col("toxic") == label) & (F.lit(part is None) | (F.col("part") == (part or 0))), F.col("n")).otherwise(0))
+    counts = rows.mapInArrow(_document_counts, "entry string, toxic int, part int, n long").groupBy("entry").agg(
+        of(1, None).alias("t"), of(0, None).alias("c"), *[of(label, p).alias(f"{name}{p}") for label, name in ((1, "t"), (0, "c")) for p in range(PARTS)]
     )
     odds = ((F.col("t") + 0.5) / (toxic + 1)) / ((F.col("c") + 0.5) / (clean + 1))
-    able = [r.entry for r in counts.where((F.col("t") >= MIN_CONTEXTS) & (odds >= MIN_ODDS)).orderBy(F.desc("t"), "entry").limit(10 * lexicon).collect()]
-    spread = rows.where("label = 1").select("text").mapInArrow(_contexts(frozenset(able)), "entry string, context long").distinct().groupBy("entry").count()
-    found = [r.entry for r in spread.where(F.col("count") >= MIN_CONTEXTS).orderBy(F.desc("count"), "entry").limit(lexicon).collect()]
-    # rows of equal features are one row; the rest is bounded by the sample
-    matched = rows.select("text", "label").mapInArrow(_matched(found), "row array<double>, n long").groupBy("row").agg(F.sum("n").alias("n")).collect()
-    table = np.array([r.row for r in matched])
-    order = np.lexsort(table.T)
-    weights = logistic(table[order, 1:], table[order, 0], np.array([r.n for r in matched], float)[order])
-    return found, [float(w) for w in weights]
+    able = {r.entry: r for r in counts.where((F.col("t") >= MIN_CONTEXTS) & (odds >= min(ODDS))).collect()}
+    spread = rows.where("label = 1").select("text").mapInArrow(_contexts(frozenset(able)), "entry string, context long, intended boolean").distinct()
+    spread = spread.groupBy("entry").agg(F.count_distinct("context").alias("contexts"), F.avg(F.col("intended").cast("int")).alias("intended"))
+    spread = {r.entry: r for r in spread.where(F.col("contexts") >= MIN_CONTEXTS).collect()}
+
+    def without(e: str, p: int) -> float:  # the odds that the other parts tell
+        t, c = able[e].t - able[e][f"t{p}"], able[e].c - able[e][f"c{p}"]
+        return float(np.exp(log_odds(t, c, toxic - totals[1, p], clean - totals[0, p]))) if t >= MIN_CONTEXTS else 0.0
+
+    others = {e: [without(e, p) for p in range(PARTS)] for e in spread}
+    best = rows.mapInArrow(_best_odds(others), "label int, best double, n long").groupBy("label", "best").agg(F.sum("n").alias("n")).collect()
+    least = np.log(choose_odds([tuple(r) for r in best]))
+    lexicon = {e: "threat" if r.intended >= 0.5 else "insult" for e, r in sorted(spread.items()) if log_odds(able[e].t, able[e].c, toxic, clean) >= least}
+    # rows of equal matches are one row
+    matched = rows.select("text", "label").mapInArrow(_matched(lexicon), "row array<long>, n long").groupBy("row").agg(F.sum("n").alias("n")).collect()
+    matched = sorted((r.row, r.n) for r in matched)
+    held = lambda m, label: sum(n for row, n in matched if row[0] == label and row[1 + m])
+    arcs = {kind: max(0.0, log_odds(held(m, 1), held(m, 0), toxic, clean)) for m, kind in enumerate(MATCHES)}
+    table = np.array([features(Counter({k: x for k, x in zip(MATCHES, row[1:]) if x}), arcs) for row, _ in matched])
+    weights = logistic(table, np.array([row[0] for row, _ in matched], float), np.array([n for _, n in matched], float))
+    return lexicon, arcs, [float(w) for w in weights]
 
 
 # Scoring
 
 
-def _score(lexicon: list[str], weights: list[float]):
+def _score(model: tuple):
     def run(batches):
-        model = Model(lexicon, weights)
+        known = Model(*model)
         for batch in batches:
-            scores = [model.score(t) for t in batch.column(1).to_pylist()]
+            scores = [known.score(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["key", "score"])
 
     return run
 
 
-def scored(df: DataFrame, model: tuple[list[str], list[float]], keep: list[str], text_col: str = "text") -> DataFrame:
+def scored(df: DataFrame, model: tuple, keep: list[str], text_col: str = "text") -> DataFrame:
     """(held: the columns `keep`, score) of every row."""
     common.bound_batches(df.sparkSession)
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("key"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_score(*model), f"key {rows.schema['key'].dataType.simpleString()}, score double").withColumnRenamed("key", "held")
+    return rows.mapInArrow(_score(model), f"key {rows.schema['key'].dataType.simpleString()}, score double").withColumnRenamed("key", "held")
 
 
 def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -1,6 +1,7 @@
 """Language ID, toxicity, decontamination and the pipeline."""
 
 import itertools
+import os
 import random
 import zlib
 
@@ -85,18 +86,54 @@ def test_language_id(spark, docs):
 
 
 def test_transducers():
-    kinds = lambda text: toxicity.Grammar(["idiot", "moro*"])(text)
+    kinds = lambda text: toxicity.Grammar({"idiot": "insult", "moro*": "insult", "zap": "threat"})(text)
     assert kinds("An idiot passes") == {"insult": 1}
     assert kinds("You idiot. A table") == {"targeted": 1}
     assert kinds("an idiot are you") == {"targeted": 1}
     assert kinds("That is not an idiot!") == {"negated": 1}
     assert kinds("He wrote: idiot") == {"insult": 1}  # the clause ends at the colon
     assert kinds("it said such a moron") == {"reported": 1}
-    assert kinds("I will kill it") == {"threat": 1} and kinds("kill it") == {}
+    assert kinds("I will kill it") == {"threat": 1} and kinds("kill it") == {} and kinds("zap it") == {"threat": 1}
     assert kinds("they never will kill anything") == {"negated": 1}
     assert kinds(None) == kinds("idiotic") == {}
 
 
+def brute_matches(classes):
+    """The grammar's rules read off the places of words."""
+    found = {}
+    for i, c in enumerate(classes):
+        before = classes[max(0, i - toxicity.REACH) : i]
+        around = before + classes[i + 1 : i + 1 + toxicity.REACH]
+        if c == "insult" or c == "threat" or c == "harm" and "intent" in before:
+            plain = ("targeted" if "target" in around else "insult") if c == "insult" else "threat"
+            kind = "negated" if "negation" in before else "reported" if "report" in before else plain
+            found[kind] = found.get(kind, 0) + 1
+    return found
+
+
+def test_the_composed_machine_against_its_rules():
+    rng = random.Random(6)
+    for _ in range(3000):
+        classes = rng.choices(toxicity.CLASSES, [3, 2, 1, 1, 1, 1, 2, 6], k=rng.randrange(0, 14))
+        assert toxicity.matches(classes) == brute_matches(classes), classes
+    assert len(toxicity.CLASSES) == 8 and len({s for s, _ in toxicity.MACHINE.arcs}) <= 5**4
+
+
+def test_odds_are_chosen_by_what_they_tell():
+    assert toxicity.choose_odds([(1, 300.0, 9), (1, 20.0, 1), (0, 10.0, 50), (0, 0.0, 100)]) == 16.0
+    assert toxicity.choose_odds([(1, 900.0, 9), (0, 100.0, 5)]) == 256.0
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1/labels.parquet"), reason="the driver's tables are not here")
+def test_held_out_toxicity_of_the_driver_s_table(spark):
+    d = "/root/testdata/sf0.1"
+    told = common.table(spark, d, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = toxicity.op8_toxicity(spark, d).join(told, "doc_id").where("held_out").groupBy("toxic", "predicted").count().collect()
+    n = {(r.toxic, r.predicted): r["count"] for r in rows}
+    recall, clean = n[1, 1] / (n[1, 1] + n.get((1, 0), 0)), n[0, 0] / (n[0, 0] + n.get((0, 1), 0))
+    assert recall >= 0.9 and clean >= 0.99, n
+
+
 def toxic_corpus(n=400):
     rng = random.Random(9)
     texts, labels = [], []
@@ -120,13 +157,22 @@ def test_toxicity_is_learned(spark, docs):
     held = [i for i, _ in labels if rows[i].held_out]
     assert held and all(rows[i].predicted == dict(labels)[i] for i in held)
     assert all(rows[len(texts) + i].predicted == 0 for i in range(len(ODD)))
-    lexicon, weights = toxicity.train(df, told)
-    assert "blorg" in lexicon and "zwick*" in lexicon and min(weights[1:]) >= 0
+    lexicon, arcs, weights = toxicity.train(df, told)
+    assert lexicon["blorg"] == "insult" == lexicon["zwick*"] and min(weights[1:]) >= 0 and arcs["insult"] > 0
     none = toxicity.toxicity(df, told.limit(0))
     assert {r.predicted for r in none.collect()} == {0}
     assert toxicity.toxicity(docs([]), told).count() == 0
 
 
+def test_threats_are_learned(spark, docs):
+    rng = random.Random(4)
+    word = lambda: f"w{chr(97 + rng.randrange(26))}{chr(97 + rng.randrange(26))}"
+    texts = [" ".join([word() for _ in range(20)] + (["i", "will", "zarp", word()] if i % 4 == 0 else []) + [word() for _ in range(5)]) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    lexicon, arcs, _ = toxicity.train(docs(texts), labels)
+    assert lexicon["zarp"] == "threat" and arcs["threat"] > 0
+
+
 def test_copies_do_not_make_an_insult(spark, docs):
     texts = [f"plain words number {chr(97 + i % 26)} here" for i in range(200)] + ["a copied text with oddword inside"] * 40
     labels = spark.createDataFrame([(i, int(i >= 200)) for i in range(240)], "doc_id long, toxic int")
