@@ -315,8 +315,10 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     )
     odds = ((F.col("t") + 0.5) / (toxic + 1)) / ((F.col("c") + 0.5) / (clean + 1))
     able = {r.entry: r for r in counts.where((F.col("t") >= MIN_CONTEXTS) & (odds >= min(ODDS))).collect()}
-    spread = rows.where("label = 1").select("text").mapInArrow(_contexts(frozenset(able)), "entry string, context long, intended boolean").distinct()
-    spread = spread.groupBy("entry").agg(F.count_distinct("context").alias("contexts"), F.avg(F.col("intended").cast("int")).alias("intended"))
+    spread = rows.where("label = 1").select("text").mapInArrow(_contexts(frozenset(able)), "entry string, context long, intended boolean")
+    # by entry and context first, so that an entry of very many contexts is counted before it is shuffled
+    spread = spread.groupBy("entry", "context").agg(F.max(F.col("intended").cast("int")).alias("intended"))
+    spread = spread.groupBy("entry").agg(F.count("*").alias("contexts"), F.avg("intended").alias("intended"))
     spread = {r.entry: r for r in spread.where(F.col("contexts") >= MIN_CONTEXTS).collect()}
 
     def without(e: str, p: int) -> float:  # the odds that the other parts tell
