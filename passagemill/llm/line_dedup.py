@@ -1,22 +1,24 @@
 """Line dedup by a segment-partition edit join; DataFrame functions only.
 
-Lines of `min_chars` code points or more are alike when their edit distance is at most `edits`; a class is a connected
-component of alike lines, equal lines included. Of each class the first line in (id, position) order stays, all others
-are dropped. Shorter lines are left alone.
-
-The join: a line of length l is cut into edits + 1 even segments. Of two alike lines, the longer one has a segment
-of the shorter one at a position that the multi-match-aware windows allow. So every line sends (length, segment number,
-segment) of its own cut, and, as the longer partner, of the windows for the lengths l - edits to l; lines that share
+Equal lines of any length are alike; blank ones are no lines. Lines of `min_chars` code points or more are also alike when their
+edit distance is at most `edits`: in words (what single blanks separate) if a line has `words` of them, so that a changed number, date or name
+is one edit however long it is; in characters if it has fewer. A class is a connected component of alike lines. Of each
+class the first line in (id, position) order stays, all others are dropped.
+
+The join: a line of n symbols is cut into edits + 1 even segments. Of two alike lines, the longer one has a segment
+of the shorter one at a position that the multi-match-aware windows allow. So every line sends (n, segment number,
+segment) of its own cut, and, as the longer partner, of the windows for n - edits to n; lines that share
 such a key are candidates. Candidates must agree in all but one of 16 blocks counted from both ends (for one edit), and
 what is left between these is verified with the banded bit-parallel edit distance.
 
 Keys of more than `hot` different lines, as in a large group of near copies, are not paired (for one edit): their lines
-send the forms with one character left out, and those that share a form at one position, or whose form is another line,
-are alike. That is as many rows as a line has characters, however large the group, and loses no link.
+send the forms with one symbol left out, and those that share a form at one place, or whose form is another line,
+are alike. A form is two sums of hashes of (symbol, place), which running sums give for all places at once, so that costs
+as many rows as a line has symbols, however large the group, and loses no link. (For more edits every key is paired.)
 
 Lines travel as 128-bit digests; texts are shuffled once, to verify. Equal lines are made one before keys are made.
 
-Defined cases: null text = no lines; an empty text is one short line; rows of one id and one text are one document;
+Defined cases: null text = no lines; an empty text is one blank line; rows of one id and one text are one document;
 ties go by position; a null id comes first; an empty table gives an empty table; other columns are ignored.
 """
 
@@ -25,53 +27,60 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import bind, prefix_sums
 from . import common
 from .components import components
 
-EDITS, MIN_CHARS, HOT, BLOCKS = 1, 24, 64, 16
+EDITS, MIN_CHARS, WORDS, HOT, BLOCKS = 1, 24, 12, 64, 16
+
+
+def symbols(line: Column, words: int) -> Column:
+    """The line's words if it has that many, else its characters."""
+    return F.when(F.size(F.split(line, " ")) >= words, F.split(line, " ")).when(line != "", F.split(line, "")).otherwise(F.array().cast("array<string>"))
 
 
 def cut(length: Column, edits: int, i: int) -> tuple[Column, Column]:
-    """(start, length) of segment i of a line of that length; the last segments are the longer ones."""
+    """(start, length) of segment i of a line of that many symbols; the last segments are the longer ones."""
     n = edits + 1
-    short, longer = (length / n).cast("int"), length % n
+    short, longer = F.floor(length / n).cast("int"), length % n
     extra = F.greatest(F.lit(0), F.lit(i) - (F.lit(n) - longer))
     return short * i + extra, short + F.when(F.lit(i) >= F.lit(n) - longer, 1).otherwise(0)
 
 
-def _key(line: Column, length: Column, edits: int, i: int, shift: int) -> Column:
-    """The hash of (length, i, the substring of `line` where a line of that length has segment i, moved by shift)."""
+def _key(line: Column, kind: Column, length: Column, edits: int, i: int, shift: int) -> Column:
+    """The hash of (kind of symbols, length, i, the symbols of `line` where a line of that length has segment i, moved by shift)."""
     start, size = cut(length, edits, i)
     start = start + shift
-    return F.when((start >= 0) & (start + size <= F.length(line)), F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size)))
+    return F.when((start >= 0) & (size >= 0) & (start + size <= F.size(line)), F.xxhash64(kind, length, F.lit(i), F.slice(line, start + 1, size)))
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    return F.array(*[_key(line, length, edits, i, 0) for i in range(edits + 1)])
+def index_keys(line: Column, kind: Column, edits: int) -> Column:
+    """Keys of a line's own cut. (All keys stay within generated code: no function of a lambda.)"""
+    return F.array(*[_key(line, kind, F.size(line), edits, i, 0) for i in range(edits + 1)])
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Those of the windows that are not index keys themselves."""
+def probe_keys(line: Column, kind: Column, edits: int) -> Column:
+    """Those of the windows that are not index keys themselves; null where the line has no such window."""
     keys = []
     for less in range(edits + 1):
         for i in range(edits + 1):
             lo, hi = max(-i, less - (edits - i)), min(i, less + (edits - i))
-            keys += [_key(line, length - less, edits, i, s) for s in range(lo, hi + 1) if less or s]
-    return F.array_compact(F.array(*keys)) if keys else F.array().cast("array<long>")
+            keys += [_key(line, kind, F.size(line) - less, edits, i, s) for s in range(lo, hi + 1) if less or s]
+    return F.array(*keys) if keys else F.array().cast("array<long>")
 
 
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
-    """Their edit distance if it is at most edits, else more than that: bit-parallel in a diagonal band of 2 * edits + 1.
+    """The edit distance of two arrays if it is at most edits, else more than that: bit-parallel in a diagonal band of 2 * edits + 1.
 
     Two lines of lengths that differ by more than edits are not compared. a and b should be columns that exist already, as
     the expression names them often.
     """
     k, mask = edits, (1 << 2 * edits + 1) - 1
-    pad = "\x01" * (edits + 1)
-    x, y = F.split(F.concat(F.lit(pad), a), ""), F.split(F.concat(F.lit(pad), b), "")
-    n = F.length(a) + edits + 1
+    pad = F.array(*[F.lit("\x01")] * (edits + 1))
+    x, y = F.concat(pad, a), F.concat(pad, b)
+    n = F.size(a) + edits + 1
 
-    def band(c: Column, at: Column) -> Column:  # which of a's characters around the diagonal equal b's character
+    def band(c: Column, at: Column) -> Column:  # which of a's symbols around the diagonal equal b's symbol
         same = [F.when((at + t >= 0) & (F.get(x, at + t) == c), 1 << (k + t)).otherwise(0) for t in range(-k, k + 1)]
         return sum(same[1:], same[0])
 
@@ -93,11 +102,11 @@ def banded_distance(a: Column, b: Column, edits: int) -> Column:
         )
 
     start = F.struct(F.lit(0).alias("i"), F.lit(mask & ~((1 << k) - 1)).alias("vp"), F.lit(0).alias("vn"), F.lit(k).alias("d"))
-    return F.when(F.abs(F.length(a) - F.length(b)) <= edits, F.aggregate(F.transform(y, band), start, step, lambda s: s["d"])).otherwise(edits + 1)
+    return F.when(F.abs(F.size(a) - F.size(b)) <= edits, F.aggregate(F.transform(y, band), start, step, lambda s: s["d"])).otherwise(edits + 1)
 
 
 def with_distance(pairs: DataFrame, edits: int) -> DataFrame:
-    """pairs (a, b, ..) with distance: null if the blocks already tell that it is more than edits.
+    """pairs (a, b: arrays of symbols, ..) with distance: null if the blocks already tell that it is more than edits.
 
     Blocks equal from either end are left out, the rest is verified. Each step is a projection of its own, so that none repeats another's expressions.
     """
@@ -108,15 +117,15 @@ def with_distance(pairs: DataFrame, edits: int) -> DataFrame:
         at = F.array_position(same, 1)
         return F.when(at == 0, F.lit(BLOCKS)).otherwise((at - 1).cast("int"))
 
-    short = F.least(F.length("a"), F.length("b"))
+    short = F.least(F.size("a"), F.size("b"))
     out = pairs.withColumn("short", short).withColumn("width", F.greatest(F.lit(1), F.ceil(F.col("short") / BLOCKS).cast("int")))
-    out = out.withColumn("full", (F.col("short") / width).cast("int"))  # whole blocks that both lines have
-    out = out.withColumn("left", run(lambda x, i: F.substring(x, (i - 1) * width + 1, width)))
-    out = out.withColumn("right", F.least(run(lambda x, i: F.substring(x, F.length(x) - i * width + 1, width)), full - left))
+    out = out.withColumn("full", F.floor(F.col("short") / width).cast("int"))  # whole blocks that both lines have
+    out = out.withColumn("left", run(lambda x, i: F.slice(x, (i - 1) * width + 1, width)))
+    out = out.withColumn("right", F.least(run(lambda x, i: F.slice(x, F.size(x) - i * width + 1, width)), full - left))
     out = out.withColumn("equal", (left + F.col("right")) * width)
     # one edit touches one block, two if it moves what follows, and what is no whole block
     near = (F.col("short") - F.col("equal") <= 2 * width) if edits == 1 else F.lit(True)
-    rest = lambda x: F.when(near, F.substring(x, left * width + 1, F.length(x) - F.col("equal")))
+    rest = lambda x: F.when(near, F.slice(x, left * width + 1, F.size(x) - F.col("equal")))
     out = out.withColumns({"x": rest(a), "y": rest(b)})
     return out.withColumn("distance", banded_distance(F.col("x"), F.col("y"), edits)).select(*pairs.columns, "distance")
 
@@ -134,23 +143,33 @@ def _exploded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("doc", "id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
 
 
-def _long_lines(df: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    return _exploded(df, id_col, text_col).where(F.length("line") >= min_chars)
+def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return _exploded(df, id_col, text_col).where(F.col("line").rlike(r"\S"))
 
 
-def _left_out(first: int | Column, count: Column) -> Column:
-    """The line with each of `count` characters left out, from place `first` on (from 0), with the place."""
-    return F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda j: F.struct((first + j).alias("place"), _digest(F.concat(F.substring(F.col("line"), F.lit(1), first + j), F.substring(F.col("line"), first + j + 2, F.length("line")))).alias("form")),
-    )
+def left_out(line: Column) -> Column:
+    """array<(place, one, two)>: the sums of the line with each of its symbols left out; and last, as place -1, of the whole line."""
+
+    def forms(own: Column) -> Column:
+        n = F.size(line)
+
+        def at(j: Column) -> Column:  # what is before j stays in place, what is behind it moves by one
+            return F.struct(j.alias("place"), *[(F.get(own[f"a{s}"], j) + F.get(own[f"b{s}"], n) - F.get(own[f"b{s}"], j + 1)).alias(name) for s, name in ((1, "one"), (2, "two"))])
+
+        whole = F.struct(F.lit(-1).alias("place"), F.get(own["a1"], n).alias("one"), F.get(own["a2"], n).alias("two"))
+        return F.concat(F.transform(F.sequence(F.lit(0), n - 1), at), F.array(whole))
+
+    # one symbol more, so that the last sum is the total
+    return bind(F.struct(*[_with_total(line, salt, moved).alias(f"{name}{salt}") for salt in (1, 2) for name, moved in (("a", 0), ("b", 1))]), forms)
+
+
+def _with_total(line: Column, salt: int, moved: int) -> Column:
+    hashes = F.transform(line, lambda x, j: F.pmod(F.xxhash64(x, j - moved, F.lit(salt)), F.lit(1 << 40)))
+    return prefix_sums(F.concat(hashes, F.array(F.lit(0).cast("bigint"))), "bigint")
 
 
-def line_links(lines: DataFrame, texts, edits: int, hot: int) -> DataFrame:
-    """(u, v) digests of alike lines, enough to connect all that are. lines: distinct (d, own, probes); texts(digests) -> (d, line)."""
-    own = lines.select("d", F.explode("own").alias("key")).withColumn("indexed", F.lit(True))
-    probing = lines.select("d", F.explode("probes").alias("key")).withColumn("indexed", F.lit(False))
-    keyed = own.unionByName(probing)
+def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> DataFrame:
+    """(u, v) digests of alike lines, enough to connect all that are. keyed: distinct lines' (d, key, indexed); texts(digests) -> (d, line)."""
     sizes = common.materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "line-key-sizes")
     paired = sizes if edits > 1 else sizes.where(F.col("n") <= hot)
     near = common.materialize(keyed.join(paired.select("key").hint("merge"), "key"), "line-keys")
@@ -161,45 +180,54 @@ def line_links(lines: DataFrame, texts, edits: int, hot: int) -> DataFrame:
     crowded = keyed.join(sizes.join(paired.hint("merge"), "key", "left_anti").select("key").hint("merge"), "key").select("d").distinct()
     crowded = common.materialize(crowded, "crowded-lines")
     needed = pairs.select(F.col("u").alias("d")).unionByName(pairs.select(F.col("v").alias("d"))).unionByName(crowded).distinct()
-    known = common.materialize(texts(needed), "candidate-lines")
+    known = common.materialize(texts(needed).withColumn("line", symbols(F.col("line"), words)), "candidate-lines")
     both = pairs.join(known.select(F.col("d").alias("u"), F.col("line").alias("a")).hint("merge"), "u")
     both = both.join(known.select(F.col("d").alias("v"), F.col("line").alias("b")).hint("merge"), "v")
     # written before they are filtered: a filter would be pushed below the steps and repeat them
     told = common.materialize(with_distance(both, edits).select("u", "v", "distance"), "line-distances")
     found = told.where(F.col("distance") <= edits).select("u", "v")
+    for done in (sizes, near):
+        common.discard(done)
     if edits > 1:
         return found
     held = known.join(crowded.hint("merge"), "d", "left_semi")
-    forms = held.select("d", F.explode(_left_out(F.lit(0), F.length("line"))).alias("x")).select("d", "x.place", "x.form")
-    # the same place left out of both: one character is another
-    other = forms.groupBy("form", "place").agg(F.min("d").alias("u"), F.max("d").alias("most")).where("u <> most")
-    swapped = forms.join(other.select("form", "place", "u").hint("merge"), ["form", "place"]).where("u <> d").select("u", F.col("d").alias("v"))
+    # not in one step: each form would carry the whole line
+    forms = held.select("d", F.size("line").alias("n"), left_out(F.col("line")).alias("forms"))
+    forms = forms.select("d", "n", F.explode("forms").alias("x")).select("d", "n", "x.place", "x.one", "x.two")
+    forms = common.materialize(forms, "line-forms")
+    short, whole, form = forms.where("place >= 0"), forms.where("place < 0"), ["one", "two"]
+    # the same place left out of both: one symbol is another
+    other = short.groupBy(*form, "n", "place").agg(F.min("d").alias("u"), F.max("d").alias("most")).where("u <> most").select(*form, "n", "place", "u")
+    swapped = short.join(other.hint("merge"), [*form, "n", "place"]).where("u <> d").select("u", F.col("d").alias("v"))
     # left out of one, it is the other
-    inserted = forms.join(held.select(F.col("d").alias("form"), F.col("d").alias("u")).hint("merge"), "form").select("u", F.col("d").alias("v"))
+    shorter = whole.select(*form, (F.col("n") + 1).alias("n"), F.col("d").alias("u"))
+    inserted = short.join(shorter.hint("merge"), [*form, "n"]).select("u", F.col("d").alias("v"))
     return found.unionByName(swapped).unionByName(inserted)
 
 
-def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
+def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT, words: int = WORDS) -> DataFrame:
     """(doc, dropped: the positions of dropped lines, n_near: how many of them have no equal line that stays) of documents that have any."""
-    lines = _long_lines(df, id_col, text_col, min_chars)
-    length = F.length("line")
-    lines = lines.select("doc", "id", "pos", _digest(F.col("line")).alias("d"), index_keys(F.col("line"), length, edits).alias("own"), probe_keys(F.col("line"), length, edits).alias("probes"))
-    lines = common.materialize(lines, "lines")
+    by_words = F.size(F.split("line", " ")) >= words
+    lines = _lines(df, id_col, text_col).select("doc", "id", "pos", "line", F.when(F.length("line") >= min_chars, symbols(F.col("line"), words)).alias("symbols"), by_words.alias("kind"))
+    keys = [F.when(F.col("symbols").isNotNull(), f(F.col("symbols"), F.col("kind"), edits)).alias(name) for f, name in ((index_keys, "own"), (probe_keys, "probes"))]
+    lines = common.materialize(lines.select("doc", "id", "pos", _digest(F.col("line")).alias("d"), *keys), "lines")
     place = F.struct("id", "pos", "doc")
     distinct = lines.groupBy("d").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.any_value("own").alias("own"), F.any_value("probes").alias("probes"))
     distinct = common.materialize(distinct, "distinct-lines")
 
     def texts(digests: DataFrame) -> DataFrame:
-        every = _long_lines(df, id_col, text_col, min_chars).select(_digest(F.col("line")).alias("d"), "line")
+        every = _lines(df, id_col, text_col).where(F.length("line") >= min_chars).select(_digest(F.col("line")).alias("d"), "line")
         # equal lines become one before the shuffle, so a line of very many documents is a few rows
         return every.groupBy("d").agg(F.first("line").alias("line")).join(digests.hint("merge"), "d", "left_semi")
 
-    roots = components(line_links(distinct.select("d", "own", "probes"), texts, edits, hot)).select(F.col("u").alias("d"), "root")
+    keyed = [distinct.select("d", F.explode(c).alias("key")).where("key is not null").withColumn("indexed", F.lit(c == "own")) for c in ("own", "probes")]
+    roots = components(line_links(keyed[0].unionByName(keyed[1]), texts, edits, hot, words)).select(F.col("u").alias("d"), "root")
     classes = distinct.select("d", "first", "n").join(roots.hint("merge"), "d", "left")
     classes = classes.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "d"))
     firsts = classes.groupBy("root").agg(F.min("first").alias("stays"))
-    classes = classes.join(firsts.hint("merge"), "root").select("d", "stays", (F.col("first") != F.col("stays")).alias("near"))
-    again = lines.select("doc", "id", "pos", "d").join(classes.hint("merge"), "d").where(place != F.col("stays"))
+    classes = common.skew_join(classes, firsts, ["root"]).select("d", "stays", (F.col("first") != F.col("stays")).alias("near"))
+    classes = common.materialize(classes, "line-classes")
+    again = common.skew_join(lines.select("doc", "id", "pos", "d"), classes, ["d"]).where(place != F.col("stays"))
     return again.groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("dropped"), F.count_distinct(F.when(F.col("near"), F.col("pos"))).alias("n_near"))
 
 
