@@ -9,10 +9,12 @@ pigeonring principle a linked pair has a segment from which every chain of l con
 most floor(l * budget / segments) bits: so in none for the first, and the join is on its value; longer chains are
 tested before the full Hamming distance.
 
-Segments that more than `hot` different fingerprints share, as in a large group of near copies, are not paired: each
-fingerprint in them sends itself to the 65 points at most one bit away. Those within two bits meet in a point, and
-others never do; a point gets at most 65 fingerprints, so that costs 65 rows a fingerprint however large the
-group, and loses no link. (For budgets over 2, where that isn't so, every segment value is paired.)
+Segments that more than `hot` different fingerprints share are not paired. Their fingerprints send longer keys: of six
+segments the four that are left if any two are taken out, as two bits can touch two segments at most. Pairs that share one are tested on the
+ring of six in the same way. A key of four segments that more than `hot` share, as in a large group of near copies, is not
+paired either: each of its fingerprints sends itself to the 65 points at most one bit away. Those within two bits meet in
+a point, and others never do; a point gets at most 65 fingerprints, so that costs 65 rows a fingerprint however large
+the group. No link is lost. (For other budgets every segment value is paired.)
 
 Components are those of the link graph over distinct fingerprints; component_id is the smallest id in them.
 
@@ -22,13 +24,15 @@ a row; rows with null ids get the component's smallest id, null if none has one;
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import common, near
+from . import common
 from .components import components
 
 BITS, BUDGET, WIDTH, SEED, HOT = 64, 2, 3, 42, 64
@@ -49,10 +53,10 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     ends = np.cumsum(lengths + 1) - 1
     digest = xxhash.xxh64_digest
     digests = b"".join([digest(joined[a:b], SEED) for a, b in zip((ends - lengths).tolist(), ends[width - 1 :].tolist())])
-    return _majority(np.frombuffer(digests, np.uint8).reshape(-1, 8))
+    return majority(np.frombuffer(digests, np.uint8).reshape(-1, 8))
 
 
-def _majority(rows: np.ndarray) -> int:
+def majority(rows: np.ndarray) -> int:
     """rows: (n, 8) bytes, most significant first. Counters of a byte hold 255 rows at most, so they are summed by as many."""
     n = len(rows)
     sums = np.add.reduceat(_SPREAD[rows], np.arange(0, n, 255), axis=0)
@@ -77,9 +81,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return rows.mapInArrow(_fingerprints(width), f"id {dict(rows.dtypes)['id']}, fp long")
 
 
-def segments(budget: int) -> list[tuple[int, int]]:
-    """(lowest bit, width) of each of the budget + 1 segments."""
-    n = budget + 1
+def segments(n: int) -> list[tuple[int, int]]:
+    """(lowest bit, width) of each of n segments."""
     cuts = [BITS * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
@@ -88,35 +91,53 @@ def _segment(fp: Column, at: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _chains(a: Column, b: Column, budget: int) -> Column:
-    """Whether the chains that start at segment number `i`, where the pair agrees, keep their budgets."""
-    parts, n = segments(budget), budget + 1
-    differ = a.bitwiseXOR(b)
-    each = [F.bit_count(_segment(differ, *p)) for p in parts]
-    tests = F.lit(True)
+def _chains(a: Column, b: Column, n: int, budget: int) -> list[Column]:
+    """For each of n segments in a ring, whether all chains that start there keep their share of the budget."""
+    each = [F.bit_count(_segment(a.bitwiseXOR(b), *p)) for p in segments(n)]
+    out = []
     for start in range(n):
         chain, total = F.lit(True), F.lit(0)
         for length in range(1, n):
             total = total + each[(start + length - 1) % n]
             chain = chain & (total <= length * budget // n)
-        tests = tests & ((F.col("i") != start) | chain)
-    return tests & (F.bit_count(differ) <= budget)
+        out.append(chain)
+    return out
+
+
+def _pairs(keyed: DataFrame, keys: list[str], keep: Column, budget: int) -> DataFrame:
+    """(u, v) of fingerprints of one key that pass the ring's test and then the full distance."""
+    left, right = keyed.withColumnRenamed("fp", "u"), keyed.withColumnRenamed("fp", "v")
+    met = left.join(right.hint("merge"), keys).where(F.col("u") < F.col("v")).where(keep)
+    return met.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= budget).select("u", "v")
+
+
+def _shared(keyed: DataFrame, keys: list[str], hot: int | None) -> tuple[DataFrame, DataFrame]:
+    """keyed's rows whose key 2 to hot fingerprints share, and the fingerprints whose keys more share."""
+    sizes = common.materialize(keyed.groupBy(*keys).count().where("count > 1"), "segment-sizes")
+    few = sizes if hot is None else sizes.where(F.col("count") <= hot)
+    many = sizes.limit(0) if hot is None else sizes.where(F.col("count") > hot)
+    rest = keyed.join(many.select(*keys).hint("merge"), keys).select("fp").distinct()
+    return keyed.join(few.select(*keys).hint("merge"), keys), common.materialize(rest, "crowded-fingerprints")
 
 
 def links(prints: DataFrame, budget: int = BUDGET, hot: int = HOT) -> DataFrame:
     """(u, v) pairs that connect just what the pairs within the budget connect. prints: distinct (fp)."""
-    parts = segments(budget)
-    keyed = prints.select("fp", F.posexplode(F.array(*[_segment(F.col("fp"), *p) for p in parts])).alias("i", "value"))
-    sizes = common.materialize(keyed.groupBy("i", "value").count().where("count > 1"), "segment-sizes")
-    paired = sizes if budget != 2 else sizes.where(F.col("count") <= hot)
-    near = keyed.join(paired.select("i", "value").hint("merge"), ["i", "value"])
-    left, right = near.withColumnRenamed("fp", "u"), near.withColumnRenamed("fp", "v")
-    found = left.join(right.hint("merge"), ["i", "value"]).where(F.col("u") < F.col("v")).where(_chains(F.col("u"), F.col("v"), budget)).select("u", "v")
+    u, v = F.col("u"), F.col("v")
+    keyed = prints.select("fp", F.posexplode(F.array(*[_segment(F.col("fp"), *p) for p in segments(budget + 1)])).alias("i", "value"))
+    few, crowded = _shared(keyed, ["i", "value"], hot if budget == 2 else None)
+    # the pair agrees in segment i, so the ring is tested from there
+    found = _pairs(few, ["i", "value"], F.get(F.array(*_chains(u, v, budget + 1, budget)), F.col("i")), budget)
     if budget != 2:
         return found
-    crowded = keyed.join(sizes.where(F.col("count") > hot).select("i", "value").hint("merge"), ["i", "value"]).select("fp").distinct()
+    whole = [((1 << width) - 1) << at for at, width in segments(6)]
+    masks = [sum(m for k, m in enumerate(whole) if k not in out) for out in itertools.combinations(range(6), 2)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    keyed = crowded.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("i", "value"))
+    few, dense = _shared(keyed, ["i", "value"], hot)
+    ring = _chains(u, v, 6, budget)
+    found = found.unionByName(_pairs(few, ["i", "value"], F.exists(F.array(*ring), lambda x: x), budget))
     flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), b) for b in range(BITS)])
-    points = crowded.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
+    points = dense.select("fp", F.explode(flips).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"))
     met = points.groupBy("point").agg(F.min("fp").alias("u"), F.collect_set("fp").alias("all")).where(F.size("all") > 1)
     return found.unionByName(met.select("u", F.explode("all").alias("v")).where("u <> v"))
 
@@ -128,8 +149,9 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     roots = components(links(prints.select("fp"), budget, hot))
     rooted = prints.join(roots.withColumnRenamed("u", "fp").hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(named.hint("merge"), "root").select("fp", "component_id")
-    return rows.join(classes.hint("merge"), "fp").select(
+    # a root or a fingerprint can have a third of all rows
+    classes = common.materialize(common.skew_join(rooted, named, ["root"]).select("fp", "component_id"), "fingerprint-classes")
+    return common.skew_join(rows, classes, ["fp"]).select(
         F.col("id").alias(id_col),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -141,8 +163,11 @@ def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents alike at 0.8 of their five-word shingles (see `near`), the one with the smallest id stays; columns as they came.
+    """Of documents alike at 0.8 of their five-word shingles, the one with the smallest id stays; columns as they came.
 
-    A document without an id stays unless a copy stays. A bit budget that covers 0.8 leaves segments of five bits, which pair nearly all documents; so this stage doesn't go over fingerprints.
+    `near` takes this module's links of five-word fingerprints as candidates, and those that two bits miss at 0.8 from MinHash bands.
+    A document without an id stays unless a copy stays.
     """
+    from . import near  # which imports this module
+
     return near.near_dedup(docs)
