@@ -73,18 +73,26 @@ def role_terms(declared: Column, role: Column) -> Column:
 
 def numeric_role_present(reference: Column, value: Column, terms: Column, unit: Column) -> Column:
     """Whether the value stands within three words of a role term and of every word of the unit (plurals are equal)."""
-    tokens = F.transform(_tokens(normalized(reference)), lambda t: F.btrim(t, F.lit(".")))
-    number, units = normalized(value), _tokens(normalized(F.coalesce(unit, F.lit(""))))
     bare = lambda t: F.rtrim(t, F.lit("s"))
-
-    def near(i: Column) -> Column:
-        first = F.greatest(F.lit(0), i - REACH)
-        window = F.slice(tokens, first + 1, i + REACH + 1 - first)
-        of_role = (F.size(terms) == 0) | F.arrays_overlap(terms, window)
-        of_unit = F.forall(units, lambda u: F.exists(window, lambda t: bare(t) == bare(u)))
-        return (F.get(tokens, i) == number) & of_role & of_unit
-
-    return F.when(F.size(tokens) > 0, F.exists(F.sequence(F.lit(0), F.size(tokens) - 1), near)).otherwise(False)
+    parts = F.struct(
+        F.transform(_tokens(normalized(reference)), lambda t: F.btrim(t, F.lit("."))).alias("tokens"),
+        normalized(value).alias("number"),
+        F.transform(_tokens(normalized(F.coalesce(unit, F.lit("")))), bare).alias("units"),
+        terms.alias("terms"),
+    )
+
+    def found(p: Column) -> Column:
+        def near(t: Column, i: Column) -> Column:
+            first = F.greatest(F.lit(0), i - REACH)
+            window = F.slice(p["tokens"], first + 1, i + REACH + 1 - first)
+            of_role = (F.size(p["terms"]) == 0) | F.arrays_overlap(p["terms"], window)
+            of_unit = F.forall(p["units"], lambda u: F.exists(window, lambda w: bare(w) == u))
+            return F.when(t == p["number"], of_role & of_unit).otherwise(False)
+
+        return F.exists(F.transform(p["tokens"], near), lambda x: x)
+
+    # bound, as the words would else be found again for each word
+    return F.coalesce(bind(parts, found), F.lit(False))
 
 
 def error_category(message: Column) -> Column:

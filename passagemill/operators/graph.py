@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import discard, materialize
 
 
 def gold(relations: DataFrame) -> DataFrame:
@@ -13,20 +13,32 @@ def gold(relations: DataFrame) -> DataFrame:
     return relations.where("gold_eligible and target_id is not null")
 
 
+#: Rounds after which what was reached is written as one table again.
+REWRITE = 8
+
+
 def closure(relations: DataFrame, seeds: DataFrame, rounds: int = 1000) -> DataFrame:
     """(vertex, depth) of all that gold relations reach from the seeds (vertex). Cycles end where they meet what was reached.
 
-    A frontier join: each round is written, so its lineage doesn't grow, and joins only the new vertices.
+    A frontier join: each round is written, so its lineage doesn't grow, and joins only the new vertices. What was reached is
+    rewritten as one table every few rounds and its parts are deleted, so that a long chain doesn't become as many tables.
     """
-    edges = gold(relations).select(F.col("source_id").alias("vertex"), F.col("target_id")).distinct()
-    reached = materialize(seeds.select("vertex").distinct().withColumn("depth", F.lit(0)), "closure")
-    frontier = reached
+    edges = materialize(gold(relations).select(F.col("source_id").alias("vertex"), F.col("target_id")).distinct(), "closure-edges")
+    frontier = materialize(seeds.select("vertex").distinct().withColumn("depth", F.lit(0)), "closure")
+    reached, parts = frontier, [frontier]
     for depth in range(1, rounds + 1):
         new = frontier.select("vertex").join(edges, "vertex").select(F.col("target_id").alias("vertex")).distinct()
         new = materialize(new.join(reached.select("vertex"), "vertex", "left_anti").withColumn("depth", F.lit(depth)), "closure")
         if new.isEmpty():
+            discard(edges)
             return reached
         reached, frontier = reached.unionByName(new), new
+        parts.append(new)
+        if len(parts) > REWRITE:
+            reached = materialize(reached, "closure")
+            for done in parts[:-1]:
+                discard(done)
+            parts = [reached, new]
     raise RuntimeError(f"the closure did not end in {rounds} rounds")
 
 

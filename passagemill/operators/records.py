@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import SPLIT_SEED, split_for_group
+from ..sources.scratch import materialize
 
 
 def record_group(assets: Column, documents: Column, unit: Column, evidence: Column) -> Column:
@@ -60,16 +61,16 @@ def keep_ordered(df: DataFrame, key: list[str], order: str, value: str, alias: s
 def row_numbers(df: DataFrame, *order: Column) -> DataFrame:
     """Ordinals of a whole table, from 0: a range sort, then numbers within partitions on top of the partitions' sizes.
 
-    A window without a key would put the table into one task. Only the partitions' sizes are collected.
+    A window without a key would put the table into one task. The sorted partitions are written once with their numbers: a range
+    sort samples anew each time it runs, so sizes of another run would be those of another split. Only the sizes are collected.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    sizes = dealt.groupBy("_part").count().orderBy("_part").collect()
+    dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    written = materialize(dealt.withColumns({"_part": F.shiftright("_id", 33).cast("int"), "_in": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))}), "numbered")
     base, starts = 0, []
-    for part, n in sizes:
+    for part, n in written.groupBy("_part").count().orderBy("_part").collect():
         starts.append((part, base))
         base += n
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     offsets = df.sparkSession.createDataFrame(starts, "_part int, _base long")
     # one row a partition
-    return dealt.withColumn("_in", within).join(F.broadcast(offsets), "_part").withColumn("ordinal", (F.col("_base") + F.col("_in")).cast("long")).drop("_part", "_in", "_base")
+    return written.join(F.broadcast(offsets), "_part").withColumn("ordinal", F.col("_base") + F.col("_in")).drop("_id", "_part", "_in", "_base")

@@ -62,7 +62,7 @@ NUMBER = lambda x: f"('0x' || substr({x}, 1, 8))::BIGINT"
 SPLIT = lambda g: (
     f"CASE WHEN {NUMBER(f'sha256(concat_ws(chr(31), {chr(39)}{H.SPLIT_SEED}{chr(39)}, {g}))')} % 100 < 80 THEN 'train' WHEN {NUMBER(f'sha256(concat_ws(chr(31), {chr(39)}{H.SPLIT_SEED}{chr(39)}, {g}))')} % 100 < 90 THEN 'validation' ELSE 'test' END"
 )
-CAND = SPANS + f", cand AS (SELECT *, {ID('evidence_id', 'char_start', 'char_end')} AS candidate_id, '{recipes.ASK}' || substr(chunk, 1, 24) AS question, substr({STRIP('chunk')}, 1, 80) AS answer FROM spans)"
+CAND = SPANS + f", cand AS (SELECT *, {ID('evidence_id', 'char_start', 'char_end')} AS candidate_id, '{recipes.ASK}' AS question, {STRIP('chunk')} AS answer FROM spans)"
 
 
 def finish(source: str, identity: str, order: str) -> str:
@@ -263,9 +263,9 @@ def decision_counts(spark, d):
     return judged(spark, d).groupBy(F.col("probe_class").alias("decision")).agg(F.count("*").alias("n"))
 
 
-UNITS = SPANS + rf", units AS (SELECT *, {STRIP(chr(39) + chr(39) + ' || regexp_extract(chunk, ' + chr(39) + '^[^.]*' + chr(39) + ')')} AS canonical_statement FROM spans), ku AS (SELECT *, {ID('evidence_id', 'canonical_statement')} AS knowledge_unit_id FROM units WHERE canonical_statement <> '')"
+UNITS = SPANS + rf", sentences AS (SELECT * EXCLUDE (chunk), unnest(string_split(chunk, '.')) AS sentence FROM spans), units AS (SELECT *, {STRIP('sentence')} AS canonical_statement FROM sentences), ku AS (SELECT *, {ID('evidence_id', 'canonical_statement')} AS knowledge_unit_id FROM units WHERE canonical_statement <> '')"
 ACCEPT = f"{NUMBER('knowledge_unit_id')} % 10 > 0"
-KU_QA = f"kuqa AS (SELECT *, '{recipes.ASK}' || substr(canonical_statement, 1, 24) AS question, substr({STRIP('canonical_statement')}, 1, 80) AS answer FROM ku WHERE {ACCEPT})"
+KU_QA = f"kuqa AS (SELECT *, '{recipes.ASK}' AS question, canonical_statement AS answer FROM ku WHERE {ACCEPT})"
 
 
 @query(f"WITH {UNITS}, {KU_QA}" + finish("kuqa", ID("'demo'", "knowledge_unit_id", "question", "answer"), "document_id, char_start, knowledge_unit_id") + SHOW)
@@ -276,7 +276,7 @@ def knowledge_unit_records(spark, d):
 
 
 PROBED = f"""pr AS (SELECT ku.*, i AS question_index, {ID('knowledge_unit_id', 'i', chr(39) + 'probe' + chr(39))} AS probe_id FROM ku, range(2) r(i)),
-  sel AS (SELECT *, '{recipes.ASK}' || substr(canonical_statement, 1, 24) AS question, substr({STRIP('canonical_statement')}, 1, 80) || ' #' || question_index AS answer FROM pr WHERE {NUMBER('probe_id')} % 3 > 0)"""
+  sel AS (SELECT *, '{recipes.ASK}' AS question, canonical_statement || ' #' || question_index AS answer FROM pr WHERE {NUMBER('probe_id')} % 3 > 0)"""
 
 
 @query(f"WITH {UNITS}, {PROBED}" + finish("sel", ID("'demo'", "probe_id", "question", "answer"), "document_id, char_start, probe_id") + SHOW)
@@ -315,16 +315,16 @@ def normalized_text(spark, d):
 GENERIC = ", ".join(f"'{w}'" for w in T.GENERIC_ROLE_WORDS)
 
 
-@query(f"SELECT item_id, array_to_string(list_filter(string_split({NORM('substr(text, 1, 30) || ' + chr(39) + ' maximum value' + chr(39))}, ' '), lambda t: t <> '' AND t NOT IN ({GENERIC})), '|') AS terms FROM benchmark")
+@query(f"SELECT item_id, array_to_string(list_filter(string_split({NORM('text || ' + chr(39) + ' maximum value' + chr(39))}, ' '), lambda t: t <> '' AND t NOT IN ({GENERIC})), '|') AS terms FROM benchmark")
 def role_terms(spark, d):
     none = F.lit(None).cast("array<string>")
-    return read(spark, d, "benchmark").select("item_id", F.array_join(T.role_terms(none, F.concat(F.substring("text", 1, 30), F.lit(" maximum value"))), "|").alias("terms"))
+    return read(spark, d, "benchmark").select("item_id", F.array_join(T.role_terms(none, F.concat("text", F.lit(" maximum value"))), "|").alias("terms"))
 
 
-@query(f"""WITH {QA}, t AS (SELECT conv_id, turn, conv_id % 13 AS x, list_transform(list_filter(string_split({NORM("substr(answer, 1, 60) || ' ratio is ' || conv_id % 9 || ' items'")}, ' '), lambda t: t <> ''), lambda t: trim(t, '.')) AS toks FROM qa)
+@query(f"""WITH {QA}, t AS (SELECT conv_id, turn, conv_id % 13 AS x, list_transform(list_filter(string_split({NORM("answer || ' ratio is ' || conv_id % 9 || ' items'")}, ' '), lambda t: t <> ''), lambda t: trim(t, '.')) AS toks FROM qa)
 SELECT conv_id, turn, len(list_filter(range(1, len(toks) + 1), lambda i: toks[i] = x::VARCHAR AND list_contains(toks[greatest(1, i - 3):i + 3], 'ratio') AND (list_contains(toks[greatest(1, i - 3):i + 3], 'item') OR list_contains(toks[greatest(1, i - 3):i + 3], 'items')))) > 0 AS present FROM t""")
 def numeric_role_present(spark, d):
-    reference = F.concat(F.substring("answer", 1, 60), F.lit(" ratio is "), F.col("conv_id") % 9, F.lit(" items"))
+    reference = F.concat("answer", F.lit(" ratio is "), F.col("conv_id") % 9, F.lit(" items"))
     return pairs(spark, d).select("conv_id", "turn", T.numeric_role_present(reference, (F.col("conv_id") % 13).cast("string"), F.array(F.lit("ratio")), F.lit("item")).alias("present"))
 
 
@@ -354,8 +354,8 @@ def staged(spark, d: str) -> DataFrame:
     spec = F.struct(
         F.lit("r1").alias("requirement_id"), F.lit("ratio limit").alias("semantic_role"), F.lit(None).cast("array<string>").alias("semantic_role_terms"),
         F.when(n % 3 == 0, "number").when(n % 3 == 1, "set").otherwise("exact_phrase").alias("value_type"), F.lit("").alias("unit"),
-        F.when(n % 3 == 0, (n % 4).cast("string")).when(n % 3 == 2, F.substring("answer", 1, 12)).alias("expected_value"),
-        F.when(n % 3 == 1, F.array(F.substring("answer", 1, 5), F.when(n % 2 == 0, F.lit("quasar")).otherwise(F.substring("answer", 3, 6)))).alias("expected_members"),
+        F.when(n % 3 == 0, (n % 4).cast("string")).when(n % 3 == 2, F.when(n % 2 == 0, F.col("answer")).otherwise(F.col("question"))).alias("expected_value"),
+        F.when(n % 3 == 1, F.array(F.col("answer"), F.when(n % 2 == 0, F.lit("quasar")).when(n % 5 == 0, F.col("question")).otherwise(F.lit("ratio")))).alias("expected_members"),
         F.lit(None).cast("string").alias("match_policy"), F.array().cast(f"array<{Q.QUALIFIER}>").alias("required_qualifiers"),
     )
     requirements = F.struct(F.when(n % 17 == 0, "uncertain").when(n % 13 == 0, "invalid").otherwise("valid").alias("question_validity"), F.lit("text").alias("answer_structure"), F.lit("source_explicit_only").alias("allowed_inference_policy"), F.array(spec).alias("requirements"))
@@ -367,17 +367,17 @@ def staged(spark, d: str) -> DataFrame:
         (n % 9 != 0).alias("answers_question"), F.when(n % 5 == 0, 0.5).otherwise(1.0).alias("required_slot_coverage"), F.array().cast(f"array<{Q.RESULT}>").alias("results"), F.lit(True).alias("unsupported_claims_material"),
         *[(n % 29 == 0).alias(x) if x == "premise_restatement" else flag(x) for x in Q.FLAGS], *lists, *[F.lit(None).cast("string").alias(x) for x in Q.AXES],
     )
-    reference = F.concat(F.substring("answer", 1, 40), F.lit(" ratio 2 and 3"))
+    reference = F.concat("answer", F.lit(" ratio 2 and 3"))
     rows = pairs(spark, d).withColumn("n", n).select("conv_id", "turn", "n", "question", "answer", requirements.alias("requirements"), answerability.alias("answerability"), F.when(n % 31 != 0, qualification).alias("qualification"), reference.alias("reference"), (n % 37 != 0).alias("provenance_resolvable"))
     return rows
 
 
-GATES = QA + f""", st AS (SELECT *, conv_id * 7 + turn AS n, {NORM("substr(answer, 1, 40) || ' ratio 2 and 3'")} AS ref FROM qa),
+GATES = QA + f""", st AS (SELECT *, conv_id * 7 + turn AS n, {NORM("answer || ' ratio 2 and 3'")} AS ref FROM qa),
   g AS (SELECT *, n % 31 = 0 AS missing, list_filter([
     CASE WHEN n % 37 = 0 THEN 'provenance_unresolvable' END,
     CASE WHEN n % 3 = 0 THEN CASE WHEN n % 4 NOT IN (2, 3) THEN 'numeric_role_binding_failed' END
-         WHEN n % 3 = 1 THEN CASE WHEN NOT contains(ref, {NORM("substr(answer, 1, 5)")}) OR n % 2 = 0 OR NOT contains(ref, {NORM("substr(answer, 3, 6)")}) THEN 'missing_required_members' END
-         ELSE CASE WHEN NOT contains(ref, {NORM("substr(answer, 1, 12)")}) THEN 'incomplete_exact_phrase' END END,
+         WHEN n % 3 = 1 THEN CASE WHEN NOT contains(ref, {NORM("answer")}) OR n % 2 = 0 AND NOT contains(ref, 'quasar') OR n % 2 <> 0 AND n % 5 = 0 AND NOT contains(ref, {NORM("question")}) THEN 'missing_required_members' END
+         ELSE CASE WHEN NOT contains(ref, CASE WHEN n % 2 = 0 THEN {NORM("answer")} ELSE {NORM("question")} END) THEN 'incomplete_exact_phrase' END END,
     CASE WHEN n % 29 = 0 THEN 'premise_restatement' END, CASE WHEN n % 19 = 0 THEN 'unsupported_claim' END, CASE WHEN n % 23 = 0 THEN 'contradicted_claim' END], lambda x: x IS NOT NULL) AS gates FROM st),
   dec AS (SELECT *, CASE WHEN missing THEN ['qualification_infrastructure_uncertainty'] ELSE list_filter([
     CASE WHEN n % 17 = 0 THEN 'question_validity_uncertain' WHEN n % 13 = 0 THEN 'question_invalid' END, CASE WHEN n % 11 = 0 THEN 'source_not_answerable_at_requested_specificity' END,
@@ -386,7 +386,7 @@ GATES = QA + f""", st AS (SELECT *, conv_id * 7 + turn AS n, {NORM("substr(answe
     CASE WHEN n % 11 = 0 THEN 'not_assessable' WHEN n % 23 = 0 THEN 'incorrect' WHEN n % 9 <> 0 AND n % 5 <> 0 THEN 'correct' WHEN n % 9 <> 0 THEN 'partially_correct' ELSE 'incorrect' END AS correctness FROM dec)"""
 
 
-@query(f"WITH {GATES} SELECT conv_id, turn, CASE WHEN n % 3 = 0 THEN n % 4 || ':number' WHEN n % 3 = 1 THEN ':set' ELSE substr(answer, 1, 12) || ':exact_phrase' END AS merged FROM g")
+@query(f"WITH {GATES} SELECT conv_id, turn, CASE WHEN n % 3 = 0 THEN n % 4 || ':number' WHEN n % 3 = 1 THEN ':set' ELSE CASE WHEN n % 2 = 0 THEN answer ELSE question END || ':exact_phrase' END AS merged FROM g")
 def requirement_merge(spark, d):
     spec = F.get(Q.merged_specs(F.col("requirements"), F.col("answerability")), 0)
     return staged(spark, d).select("conv_id", "turn", F.concat(F.coalesce(spec["expected_value"], F.lit("")), F.lit(":"), spec["value_type"]).alias("merged"))
@@ -408,7 +408,7 @@ def reason_histogram(spark, d):
     return Q.decide(staged(spark, d)).select(F.explode("reason_codes").alias("code")).groupBy("code").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {GATES}, acc AS (SELECT question, substr(answer, 1, 40) || ' ratio 2 and 3' AS answer, 'conv-' || conv_id AS source_asset_id, conv_id, turn, {ID('conv_id', 'turn')} AS candidate_id FROM decided WHERE decision = 'accepted')" + finish("acc", ID("'demo'", "candidate_id", "question", "answer"), "conv_id, turn, candidate_id") + SHOW)
+@query(f"WITH {GATES}, acc AS (SELECT question, answer || ' ratio 2 and 3' AS answer, 'conv-' || conv_id AS source_asset_id, conv_id, turn, {ID('conv_id', 'turn')} AS candidate_id FROM decided WHERE decision = 'accepted')" + finish("acc", ID("'demo'", "candidate_id", "question", "answer"), "conv_id, turn, candidate_id") + SHOW)
 def qualified_records(spark, d):
     none = F.array().cast("array<string>")
     rows = Q.decide(staged(spark, d)).select("*", H.deterministic_id(F.col("conv_id"), F.col("turn")).alias("candidate_id"), F.array(F.concat(F.lit("conv-"), "conv_id")).alias("source_asset_ids"), none.alias("document_ids"), none.alias("evidence_ids"), F.col("conv_id").alias("document_id"), F.col("turn").alias("char_start"))
@@ -426,7 +426,7 @@ def evaluation_rules(spark, d):
         n, F.when(n % 23 != 0, n.cast("string")).alias("record_id"), F.when(lang == "fr", "other").otherwise("paraphrase_evaluation").alias("research_role"), (n % 5 == 0).alias("training_eligible"),
         F.when(n % 3 != 0, lang).alias("fact_group_id"), F.lit(None).cast("string").alias("knowledge_unit_id"), F.when(lang != "es", F.lit("p")).alias("record_provenance"), F.lit(None).cast("string").alias("source_record_id"),
     )
-    return rows.select("doc_id", E.rule_error("paraphrase_evaluation").alias("error"))
+    return rows.select("doc_id", E.rule_error("paraphrase_evaluation", rows.columns).alias("error"))
 
 
 @query("SELECT item_id::VARCHAR AS record_id, 'evaluation' AS split, 'paraphrase_evaluation' AS research_role, false AS training_eligible, 'g' || item_id AS fact_group_id FROM benchmark")

@@ -12,7 +12,7 @@ from ..operators import records as R
 
 RECIPES = ("paragraph-qa", "paragraph-qa-qualified", "knowledge-unit-qa", "knowledge-unit-probed-qa")
 ALIASES = {"v0": "paragraph-qa", "v1": "knowledge-unit-qa"}
-ASK = "What does this passage say: "
+ASK = "What does this passage say?"
 
 
 def recipe_name(name: str) -> str:
@@ -40,8 +40,8 @@ def candidates(evidence: DataFrame) -> DataFrame:
 
 
 def template_answers(df: DataFrame, text: str = "source_text") -> DataFrame:
-    """The template responder: a question that quotes the passage's beginning, and the passage's beginning."""
-    return df.withColumn("question", F.concat(F.lit(ASK), F.substring(text, 1, 24))).withColumn("answer", F.substring(T.strip(F.col(text)), 1, 80))
+    """The template responder: the answer is the whole passage."""
+    return df.withColumn("question", F.lit(ASK)).withColumn("answer", T.strip(F.col(text)))
 
 
 def records(df: DataFrame, identity: Column, order: list[str], seed: str = H.SPLIT_SEED) -> DataFrame:
@@ -67,9 +67,9 @@ def qualified(decided: DataFrame, dataset: str) -> DataFrame:
 
 
 def knowledge_units(evidence: DataFrame) -> DataFrame:
-    """The template discovery: a unit for each paragraph's first sentence."""
-    statement = T.strip(F.regexp_extract("chunk", "^[^.]*", 0))
-    made = spans(evidence).withColumn("canonical_statement", statement).where(F.col("canonical_statement") != "")
+    """The template discovery: a unit for each sentence of a paragraph."""
+    each = spans(evidence).select("evidence_id", "document_id", "source_asset_id", "char_start", F.explode(F.split("chunk", "[.]", -1)).alias("sentence"))
+    made = each.withColumn("canonical_statement", T.strip(F.col("sentence"))).where(F.col("canonical_statement") != "")
     assets = F.when(F.col("source_asset_id").isNotNull(), F.array("source_asset_id")).otherwise(F.array().cast("array<string>"))
     return made.select(
         H.deterministic_id(F.col("evidence_id"), F.col("canonical_statement")).alias("knowledge_unit_id"),

@@ -11,9 +11,11 @@ KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; only where it names none (tests), a temporary one is set."""
+    """The folder the cluster names; only a local session that names none (tests) gets a temporary one."""
     found = spark.conf.get(KEY, None) or spark.sparkContext.getConf().get(KEY)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{KEY} must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="passagemill-")
         spark.conf.set(KEY, found)
     return found.rstrip("/")
