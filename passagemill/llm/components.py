@@ -22,7 +22,7 @@ def _with_least(links: DataFrame) -> DataFrame:
     A hub's links are dealt by a hash of v: the least is first found for each deal, then over the deals, and goes back to just the
     deals that occur. So no task gets more of a hub than a deal, in the aggregate or in the join.
     """
-    dealt = links.withColumn("deal", F.pmod(F.xxhash64("v"), F.lit(DEALS)))
+    dealt = links.withColumn("deal", F.pmod(F.xxhash64("v"), F.lit(DEALS))).repartition("u", "deal")  # one shuffle for the aggregate and the join
     by_deal = dealt.groupBy("u", "deal").agg(F.min("v").alias("m"))
     least = by_deal.groupBy("u").agg(F.min("m").alias("m"), F.collect_list("deal").alias("deals"))
     return dealt.join(least.select("u", "m", F.explode("deals").alias("deal")).hint("merge"), ["u", "deal"]).select("u", "v", "m")
@@ -45,7 +45,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     links = common.materialize(links, "links")
     before = None
     for _ in range(rounds):
-        done, links = links, common.materialize(_small_star(_large_star(links).distinct()).distinct(), "links")
+        done, links = links, common.materialize(_small_star(_large_star(links)).distinct(), "links")
         common.discard(done)
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:

@@ -31,12 +31,12 @@ from ..functions.arrays import bind, prefix_sums
 from . import common
 from .components import components
 
-EDITS, MIN_CHARS, WORDS, HOT, BLOCKS = 1, 24, 12, 64, 16
+EDITS, MIN_CHARS, WORDS, HOT, BLOCKS, DEALS = 1, 24, 12, 64, 16, 8
 
 
 def symbols(line: Column, words: int) -> Column:
     """The line's words if it has that many, else its characters."""
-    return F.when(F.size(F.split(line, " ")) >= words, F.split(line, " ")).when(line != "", F.split(line, "")).otherwise(F.array().cast("array<string>"))
+    return bind(F.split(line, " "), lambda w: F.when(F.size(w) >= words, w).when(line != "", F.split(line, "")).otherwise(F.array().cast("array<string>")))
 
 
 def cut(length: Column, edits: int, i: int) -> tuple[Column, Column]:
@@ -47,26 +47,44 @@ def cut(length: Column, edits: int, i: int) -> tuple[Column, Column]:
     return short * i + extra, short + F.when(F.lit(i) >= F.lit(n) - longer, 1).otherwise(0)
 
 
-def _key(line: Column, kind: Column, length: Column, edits: int, i: int, shift: int) -> Column:
-    """The hash of (kind of symbols, length, i, the symbols of `line` where a line of that length has segment i, moved by shift)."""
-    start, size = cut(length, edits, i)
+def _key(line: Column, kind: Column, length: Column, edits: int, i: int, less: int, shift: int) -> Column:
+    """The hash of (kind of symbols, length, i, the symbols of `line` where a line of `less` fewer has segment i, moved by shift).
+
+    Segments at an end are always there, and words at an end need no array of all words.
+    """
+    start, size = cut(length - less, edits, i)
     start = start + shift
-    return F.when((start >= 0) & (size >= 0) & (start + size <= F.size(line)), F.xxhash64(kind, length, F.lit(i), F.slice(line, start + 1, size)))
+    if i == 0 and shift == 0:
+        piece = F.when(kind, F.call_function("substring_index", line, F.lit(" "), size)).otherwise(F.substring(line, F.lit(1), size))
+    elif i == edits and shift == less:
+        piece = F.when(kind, F.call_function("substring_index", line, F.lit(" "), -size)).otherwise(F.substring(line, start + 1, size))
+    else:
+        piece = F.when(kind, F.array_join(F.slice(F.split(line, " "), start + 1, size), " ")).otherwise(F.substring(line, start + 1, size))
+        piece = F.when((start >= 0) & (start + size <= length), piece)
+    key = F.xxhash64(kind, length - less, F.lit(i), piece)
+    return key if edits == 1 else F.when((length >= less) & piece.isNotNull(), key)
 
 
-def index_keys(line: Column, kind: Column, edits: int) -> Column:
-    """Keys of a line's own cut. (All keys stay within generated code: no function of a lambda.)"""
-    return F.array(*[_key(line, kind, F.size(line), edits, i, 0) for i in range(edits + 1)])
+def index_keys(line: Column, kind: Column, length: Column, edits: int) -> list[Column]:
+    """Keys of a line's own cut."""
+    return [_key(line, kind, length, edits, i, 0, 0) for i in range(edits + 1)]
 
 
-def probe_keys(line: Column, kind: Column, edits: int) -> Column:
+def probe_keys(line: Column, kind: Column, length: Column, edits: int) -> list[Column]:
     """Those of the windows that are not index keys themselves; null where the line has no such window."""
     keys = []
     for less in range(edits + 1):
         for i in range(edits + 1):
             lo, hi = max(-i, less - (edits - i)), min(i, less + (edits - i))
-            keys += [_key(line, kind, F.size(line) - less, edits, i, s) for s in range(lo, hi + 1) if less or s]
-    return F.array(*keys) if keys else F.array().cast("array<long>")
+            keys += [_key(line, kind, length, edits, i, less, s) for s in range(lo, hi + 1) if less or s]
+    return keys
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once however often later ones name them: a generator's output isn't merged into what reads it,
+    and generated code stays in pieces that are small enough to be compiled."""
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.explode(F.array(made)).alias("_once")).select(*df.columns, "_once.*")
 
 
 def banded_distance(a: Column, b: Column, edits: int) -> Column:
@@ -207,27 +225,29 @@ def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> Dat
 
 def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT, words: int = WORDS) -> DataFrame:
     """(doc, dropped: the positions of dropped lines, n_near: how many of them have no equal line that stays) of documents that have any."""
-    by_words = F.size(F.split("line", " ")) >= words
-    lines = _lines(df, id_col, text_col).select("doc", "id", "pos", "line", F.when(F.length("line") >= min_chars, symbols(F.col("line"), words)).alias("symbols"), by_words.alias("kind"))
-    keys = [F.when(F.col("symbols").isNotNull(), f(F.col("symbols"), F.col("kind"), edits)).alias(name) for f, name in ((index_keys, "own"), (probe_keys, "probes"))]
-    lines = common.materialize(lines.select("doc", "id", "pos", _digest(F.col("line")).alias("d"), *keys), "lines")
+    line, c = F.col("line"), F.col("chars")
+    lines = once(_lines(df, id_col, text_col), count=F.size(F.split(line, " ")), chars=F.length(line))
+    lines = once(lines, kind=F.col("count") >= words, n=F.when(F.col("count") >= words, F.col("count")).otherwise(c))
+    keys = [F.when(c >= min_chars, F.array(*f(line, F.col("kind"), F.col("n"), edits))).alias(name) for f, name in ((index_keys, "own"), (probe_keys, "probes"))]
+    lines = common.materialize(lines.select("doc", "id", "pos", _digest(line).alias("d"), *keys), "lines")
     place = F.struct("id", "pos", "doc")
     distinct = lines.groupBy("d").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.any_value("own").alias("own"), F.any_value("probes").alias("probes"))
     distinct = common.materialize(distinct, "distinct-lines")
 
     def texts(digests: DataFrame) -> DataFrame:
-        every = _lines(df, id_col, text_col).where(F.length("line") >= min_chars).select(_digest(F.col("line")).alias("d"), "line")
-        # equal lines become one before the shuffle, so a line of very many documents is a few rows
-        return every.groupBy("d").agg(F.first("line").alias("line")).join(digests.hint("merge"), "d", "left_semi")
+        every = _lines(df, id_col, text_col).where(F.length("line") >= min_chars).select(_digest(F.col("line")).alias("d"), F.pmod(F.xxhash64("doc"), F.lit(DEALS)).alias("deal"), "line")
+        # dealt, so that a line of very many documents is several tasks' work; hashed, as sorting all lines would cost more than the join
+        wanted = digests.select("d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(DEALS - 1).cast("bigint"))).alias("deal"))
+        return every.join(wanted.hint("shuffle_hash"), ["d", "deal"], "left_semi").groupBy("d").agg(F.first("line").alias("line"))
 
     keyed = [distinct.select("d", F.explode(c).alias("key")).where("key is not null").withColumn("indexed", F.lit(c == "own")) for c in ("own", "probes")]
     roots = components(line_links(keyed[0].unionByName(keyed[1]), texts, edits, hot, words)).select(F.col("u").alias("d"), "root")
     classes = distinct.select("d", "first", "n").join(roots.hint("merge"), "d", "left")
     classes = classes.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "d"))
     firsts = classes.groupBy("root").agg(F.min("first").alias("stays"))
-    classes = common.skew_join(classes, firsts, ["root"]).select("d", "stays", (F.col("first") != F.col("stays")).alias("near"))
-    classes = common.materialize(classes, "line-classes")
-    again = common.skew_join(lines.select("doc", "id", "pos", "d"), classes, ["d"]).where(place != F.col("stays"))
+    classes = classes.join(firsts.hint("merge"), "root").select("d", "stays", (F.col("first") != F.col("stays")).alias("near"))
+    # rows of a few bytes; AQE splits a line that very many documents hold
+    again = lines.select("doc", "id", "pos", "d").join(classes.hint("merge"), "d").where(place != F.col("stays"))
     return again.groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("dropped"), F.count_distinct(F.when(F.col("near"), F.col("pos"))).alias("n_near"))
 
 

@@ -36,10 +36,10 @@ def test_banded_distance_and_keys(spark, edits):
     kind = F.lit(False)
     arrays = spark.createDataFrame(pairs, "s string, t string").select("s", "t", ld.symbols(F.col("s"), 99).alias("a"), ld.symbols(F.col("t"), 99).alias("b"))
     a, b = F.col("a"), F.col("b")
-    keys = lambda f, x: F.filter(f(x, kind, edits), lambda k: k.isNotNull())
+    keys = lambda f, x: F.filter(F.array(*f(F.col(x), kind, F.length(x), edits)), lambda k: k.isNotNull())
     df = ld.with_distance(arrays, edits).select(
         F.col("s"), F.col("t"), ld.banded_distance(a, b, edits).alias("d"), ld.banded_distance(b, a, edits).alias("e"),
-        keys(ld.index_keys, a).alias("ia"), keys(ld.index_keys, b).alias("ib"), keys(ld.probe_keys, a).alias("pa"), keys(ld.probe_keys, b).alias("pb"),
+        keys(ld.index_keys, "s").alias("ia"), keys(ld.index_keys, "t").alias("ib"), keys(ld.probe_keys, "s").alias("pa"), keys(ld.probe_keys, "t").alias("pb"),
         F.coalesce(F.col("distance") <= edits, F.lit(False)).alias("alike"),
     )
     for r in df.collect():
