@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
+import shutil
 import sys
 
 from ..functions.hashing import checksum
@@ -30,9 +32,9 @@ def parser() -> argparse.ArgumentParser:
 
     need = {"required": True}
     config = groups.add_parser("config").add_subparsers(dest="command", required=True)
-    for name in ("show", "validate"):
+    for name in ("show", "validate", "export"):
         command(config, name, ("--config", need))
-    command(groups, "build", ("--config", need), ("--source", need), ("--recipe", {}), ("--variant", {"help": "old name of --recipe"}), ("--dataset", need), ("--experiment", {"default": "default"}), ("--run-id", {}))
+    command(groups, "build", ("--config", need), ("--source", {}), ("--input-manifest", {"help": "old name of --source"}), ("--recipe", {}), ("--variant", {"help": "old name of --recipe"}), ("--storage-root", {"help": "old name of --store"}), ("--dataset", need), ("--experiment", {"default": "default"}), ("--run-id", {}))
     dataset = groups.add_parser("dataset").add_subparsers(dest="command", required=True)
     command(dataset, "show", ("uri", {}))
     command(dataset, "export", ("uri", {}), ("--to", need))
@@ -48,16 +50,15 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
-def _records(store: ArtifactStore, uri: str) -> tuple[dict, list[dict]]:
+def _dataset(store: ArtifactStore, uri: str) -> dict:
     manifest = store.get_json(store.key(uri))
     if manifest.get("schema") != B.DATASET_SCHEMA:
         raise ValueError("not a dataset")
-    key = store.key(manifest["records_uri"])
-    import hashlib
-
-    if hashlib.sha256(store.get(key)).hexdigest() != manifest["records_checksum"]:
-        raise ValueError("the records were changed")
-    return manifest, store.rows(key)
+    for shard in manifest["record_shards"]:
+        with open(store.path(store.key(shard["uri"])), "rb") as f:
+            if hashlib.file_digest(f, "sha256").hexdigest() != shard["checksum"]:
+                raise ValueError("the records were changed")
+    return manifest
 
 
 def _job_events(store: ArtifactStore, job_id: str, after: int) -> list[dict]:
@@ -77,21 +78,28 @@ def run(args: argparse.Namespace, spark=None) -> dict | list:
         case ("config", "validate"):
             C.load(args.config)
             return {"valid": True}
+        case ("config", "export"):
+            return {"toml": C.export(C.load(args.config))}
         case ("build", _):
             from ..session import local_session
 
-            if args.variant:
-                print("--variant is the old name of --recipe", file=sys.stderr)
-            spark = spark or local_session()
+            for old, new in (("variant", "recipe"), ("input_manifest", "source"), ("storage_root", "store")):
+                if getattr(args, old):
+                    print(f"--{old.replace('_', '-')} is the old name of --{new}", file=sys.stderr)
+                    setattr(args, new, getattr(args, old))
+            if not args.source:
+                raise C.ConfigError("--source is needed")
+            store, spark = ArtifactStore(args.store), spark or local_session()
             source = S.resolve(store, args.source)
             rows = V.scan(spark, *[store.path(store.key(r)) for r in source.manifest["evidence_refs"]])
-            return B.build(spark, store, rows, args.recipe or args.variant or "paragraph-qa", C.load(args.config), args.dataset, source.checksum, args.experiment, args.run_id, context=S.context(spark, source.manifest))
+            return B.build(spark, store, rows, args.recipe or "paragraph-qa", C.load(args.config), args.dataset, source.checksum, args.experiment, args.run_id, context=S.context(spark, source.manifest), source_uri=args.source)
         case ("dataset", "show"):
             return store.get_json(store.key(args.uri))
         case ("dataset", "export"):
-            manifest, _ = _records(store, args.uri)
             with open(args.to, "wb") as f:
-                f.write(store.get(store.key(manifest["records_uri"])))
+                for shard in _dataset(store, args.uri)["record_shards"]:
+                    with open(store.path(store.key(shard["uri"])), "rb") as part:
+                        shutil.copyfileobj(part, f)
             return {"exported": args.to}
         case ("job", "cancel"):
             B.request_cancel(store, args.job_id)
@@ -101,8 +109,8 @@ def run(args: argparse.Namespace, spark=None) -> dict | list:
         case ("evaluation-set", "exact-recall"):
             from ..functions.hashing import make_id
 
-            manifest, rows = _records(store, args.dataset)
-            train = [r for r in rows if r["split"] == "train" and (r.get("metadata") or {}).get("research_role", "training") == "training"]
+            manifest = _dataset(store, args.dataset)
+            train = [r for r in store.shard_rows(manifest["record_shards"]) if r["split"] == "train" and (r.get("metadata") or {}).get("research_role", "training") == "training"]
             flags = {"research_role": "exact_recall", "training_eligible": False}
             copies = [{**r, "record_id": make_id(r["record_id"], "exact-recall", manifest["dataset_version"]), "source_record_id": r["record_id"], **flags, "metadata": {**r["metadata"], **flags}} for r in train]
             return E.freeze(store, copies, args.name, "exact_recall")

@@ -92,9 +92,9 @@ def probe_skeleton(units: DataFrame, probes: int) -> DataFrame:
     return out.withColumn("probe_id", H.deterministic_id(F.col("knowledge_unit_id"), F.col("question_index"), "probe"))
 
 
-def selected_probes(judged: DataFrame, classes: tuple[str, ...] = ("unknown", "partial"), known_rate: float = 0.0) -> DataFrame:
+def selected_probes(judged: DataFrame, classes: tuple[str, ...] = ("unknown", "partial"), known_rate: float = 0.0, identity: str = "probe_id") -> DataFrame:
     """Judged probes of the wanted classes, and a hashed sample of the known ones; never an invalid probe."""
-    sampled = (F.col("probe_class") == "known") & (H.hash_fraction(F.col("probe_id")) < known_rate) & F.lit(known_rate > 0)
+    sampled = (F.col("probe_class") == "known") & (H.hash_fraction(F.col(identity)) < known_rate) & F.lit(known_rate > 0)
     return judged.where((F.col("probe_class") != "invalid_probe") & (F.col("probe_class").isin(*classes) | sampled))
 
 

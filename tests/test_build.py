@@ -26,13 +26,14 @@ def evidence(spark, n=4):
 def test_recipes_publish_once(spark, tmp_path, recipe):
     store, config = ArtifactStore(str(tmp_path)), C.parse(TOML)
     got = B.build(spark, store, evidence(spark), recipe, config, "demo", "source", run_id="run-1")
-    rows = store.rows(store.key(got["records_uri"]))
+    rows = store.shard_rows(got["record_shards"])
     assert not got["reused"] and len(rows) == got["accepted_count"] > 0
     assert [r["ordinal"] for r in rows] == list(range(len(rows)))
     assert len({json.dumps(r["messages"]) for r in rows}) == len(rows)
     again = B.build(spark, store, evidence(spark), recipe, config, "demo", "source", run_id="run-2")
     assert again["reused"] and again["records_checksum"] == got["records_checksum"]
-    (tmp_path / store.key(got["records_uri"])).write_bytes(b"{}\n")
+    assert got["stages"] == again["stages"] and got["call_count"] > 0 and {"records", "rejections"} <= set(got["stages"])
+    (tmp_path / store.key(got["record_shards"][0]["uri"])).write_bytes(b"{}\n")
     with pytest.raises(StoreConflict):
         B.build(spark, store, evidence(spark), recipe, config, "demo", "source", run_id="run-3")
 
@@ -193,3 +194,63 @@ def test_watching_a_job(spark, tmp_path):
     query.stop()
     assert sorted(r.sequence for r in spark.table("events_seen").collect()) == [2, 3]
     assert F is not None
+
+
+class Watcher(M.DeterministicResponder):
+    """Keeps what students and validators are shown."""
+
+    def respond(self, role, messages):
+        text = messages[-1]["content"]
+        if role == "student" and "EVIDENCE" in text:
+            raise TypeError("a student sees evidence")
+        if role == "probe_judge" and "number 1" in text:
+            return '{"class": "odd", "reference_answer": "x"}'
+        if role == "probe_judge":
+            return '{"class": "unknown", "reference_answer": "x"}'
+        return super().respond(role, messages)
+
+
+def test_probed_recipe_asks_its_models(spark, tmp_path):
+    store = ArtifactStore(str(tmp_path))
+    got = B.build(spark, store, evidence(spark), "knowledge-unit-probed-qa", C.parse(TOML + "[probing]\nprobes_per_unit = 2\n"), "demo", "s", factory=Watcher)
+    rows = store.shard_rows(got["record_shards"])
+    assert rows and all(r["metadata"]["probe_class"] == "unknown" and r["metadata"]["student_response_id"] and r["metadata"]["recipe"] == "knowledge-unit-probed-qa" for r in rows)
+    assert got["reason_counts"]["invalid_response"] > 0 and got["inference_failure_count"] > 0
+    assert {"discovery", "probes", "student", "judgment", "selection", "qa_generation", "validation"} <= set(got["stages"])
+
+
+class Lost(M.DeterministicResponder):
+    asked = 0
+
+    def respond(self, role, messages):
+        if role == "qa_generator" and "number 2" in messages[-1]["content"]:
+            raise RuntimeError("connection lost")
+        return super().respond(role, messages)
+
+
+def test_a_lost_network_ends_the_unit_recipe_and_a_resumed_build_goes_on(spark, tmp_path):
+    store, config = ArtifactStore(str(tmp_path)), C.parse("resume_parts = 3\n" + TOML)
+    with pytest.raises(Exception, match="connection lost"):
+        B.build(spark, store, evidence(spark), "knowledge-unit-qa", config, "demo", "s", run_id="run-1", factory=Lost)
+    done = sorted(p.name for p in tmp_path.rglob("checkpoints/*.json"))
+    assert "discovery-0.json" in done and not list(tmp_path.rglob("manifest.json"))
+    written = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("stages/discovery-*/table/*.parquet")}
+    got = B.build(spark, store, evidence(spark), "knowledge-unit-qa", config, "demo", "s", run_id="run-2")
+    assert got["accepted_count"] > 0 and {p: p.stat().st_mtime_ns for p in written} == written
+    events = [json.loads(p.read_text()) for p in sorted(tmp_path.rglob("events-run-1-*.jsonl"))]
+    assert [e["sequence"] for e in events] == list(range(1, len(events) + 1)) and events[-1]["event"] == "failed"
+
+
+def test_two_stores_get_the_same_bytes(spark, tmp_path):
+    rows = spark.range(25).selectExpr("24 - id as ordinal", "concat('r', id) as record_id", "named_struct('b', id, 'a', null) as metadata")
+    shards = [ArtifactStore(str(tmp_path / name)).publish_rows(df, "records", shard_rows=10) for name, df in (("x", rows), ("y", rows.repartition(7)))]
+    assert shards[0] == shards[1] and [s["row_count"] for s in shards[0]] == [10, 10, 5]
+    got = ArtifactStore(str(tmp_path / "x")).shard_rows(shards[0])
+    assert [r["ordinal"] for r in got] == list(range(25)) and (tmp_path / "x/records/000000.jsonl").read_text().startswith('{"metadata": {"a": null, "b": 24}, "ordinal": 0')
+    assert ArtifactStore(str(tmp_path)).publish_rows(rows.limit(0), "none") == []
+
+
+def test_config_export_reads_back():
+    config = C.parse('context_limit_tokens = 5\n[models.generator]\nmodel = "m \\"x\\""\n[models.student]\nmodel = "s"\nmax_output_tokens = 3\n[probing]\nknown_sample_rate = 0.5\n[data]\nclassification = "internal"\n')
+    again = C.parse(C.export(config))
+    assert again.identity() == config.identity() and again.policy == config.policy and config.role("student").max_output_tokens == 3 and config.role("validator").model == 'm "x"'

@@ -148,3 +148,14 @@ def test_unit_parsing():
     for raw in ('{"x": 1}', '[{"canonical_statement": ""}]', '[{"canonical_statement": "a", "source_evidence_ids": ["other"]}]', "nope"):
         with pytest.raises(ValueError):
             K.parse_units(raw, "e")
+
+
+def test_ordinals_of_many_rows(spark):
+    n = 200_000
+    rows = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), (F.col("id") % 3).alias("g")).repartition(8)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    got = R.row_numbers(rows, F.col("k"))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got.columns == ["k", "g", "ordinal"]
+    assert got.agg(F.count_distinct("ordinal"), F.min("ordinal"), F.max("ordinal"), F.count_if(F.col("k") != F.col("ordinal"))).first() == (n, 0, n - 1, 0)
