@@ -6,6 +6,7 @@ on it comes first. Records have a closed shape, so no copied source text can tra
 
 from __future__ import annotations
 
+import re
 from dataclasses import asdict, dataclass, field
 from typing import Any, Protocol
 
@@ -19,7 +20,8 @@ from . import graph as G
 PARAGRAPH_SCHEMA, COMPOSITE_SCHEMA = "paragraph-qa-handoff/v1", "composite-ku-handoff/v1"
 TEXT_LIMIT = 1_000_000
 #: Field names that would carry copied source text.
-COPIES = frozenset("source_text source_evidence raw_source_text evidence_text text content passage".split())
+COPIES = frozenset(("source_text", "source_evidence", "raw_source_text", "evidence_text", "text", "content", "passage"))
+IDENTITY = re.compile(r"[A-Za-z0-9][A-Za-z0-9._:-]{0,255}")
 
 
 class HandoffError(ValueError):
@@ -205,6 +207,8 @@ def put(store: ArtifactStore, identity: str, handoff: ParagraphHandoff | Composi
     """Write a record once under its identity; other bytes under it are a conflict."""
     if not isinstance(handoff, (ParagraphHandoff, CompositeHandoff)):
         raise HandoffError("not a handoff record")
+    if not IDENTITY.fullmatch(identity):
+        raise HandoffError(f"not an identity: {identity!r}")
     value = asdict(handoff.validate())
     kind = "paragraph-qa" if isinstance(handoff, ParagraphHandoff) else "composite-ku"
     return store.put(f"handoffs/{kind}/{make_id(identity)}.json", canonical_json(value))
