@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import make_id
+from ..prompts import template
 from ..sources.store import ArtifactStore, canonical_json
+from . import clients
 from . import graph as G
+from .responder import question_answer
 
 PARAGRAPH_SCHEMA, COMPOSITE_SCHEMA = "paragraph-qa-handoff/v1", "composite-ku-handoff/v1"
 TEXT_LIMIT = 1_000_000
@@ -40,6 +43,33 @@ class ClaimGenerator(Protocol):
     def claim(self, text: str) -> str: ...
 
 
+@dataclass(frozen=True)
+class ModelQuestions:
+    """A question and answer generator that asks a model."""
+
+    pool: clients.Pool
+    role: clients.Role
+
+    def generate(self, text: str) -> tuple[str, str]:
+        told = question_answer(clients.call(self.pool, self.role, _messages(self.role, text), [])[0])
+        return told["instruction"], told["answer"]
+
+
+@dataclass(frozen=True)
+class ModelClaims:
+    """A claim generator that asks a model."""
+
+    pool: clients.Pool
+    role: clients.Role
+
+    def claim(self, text: str) -> str:
+        return clients.call(self.pool, self.role, _messages(self.role, text), [])[0].strip()
+
+
+def _messages(role: clients.Role, text: str) -> list[dict[str, str]]:
+    return [{"role": "system", "content": template(role.name)}, {"role": "user", "content": text}]
+
+
 def holds_copy(value: Any) -> bool:
     if isinstance(value, dict):
         return any(k in COPIES or holds_copy(v) for k, v in value.items())

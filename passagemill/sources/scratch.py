@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
+#: Paths of the tables that this application wrote and has not deleted.
+_WRITTEN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,11 +27,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/passagemill/{name}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage is cut, lost executors lose nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -37,13 +45,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete a table of materialize() that no frame in use reads any more."""
-    spark, path = df.sparkSession, df.__dict__.get("_scratch")
+    path = df.__dict__.get("_scratch")
     if path:
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(df.sparkSession, path)
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+
+
+def mark() -> int:
+    """A point after which tables can be discarded."""
+    return len(_WRITTEN)
+
+
+def discard_since(spark: SparkSession, point: int, *kept: DataFrame) -> None:
+    """Delete the tables that were written after the point, but those of the kept frames: for the end of a stage whose result is written."""
+    stay = {df.__dict__.get("_scratch") for df in kept}
+    for path in [p for p in _WRITTEN[point:] if p not in stay]:
+        _delete(spark, path)
+    _WRITTEN[point:] = [p for p in _WRITTEN[point:] if p in stay]
 
 
 def drop_all(spark: SparkSession) -> None:
     """Delete all scratch tables in the shared folder: for the end of a job that no other job shares the folder with."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/passagemill")
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _delete(spark, f"{shared_dir(spark)}/passagemill")
+    _WRITTEN.clear()

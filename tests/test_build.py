@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from passagemill.operators import clients
 from passagemill.operators import evalsets as E
 from passagemill.operators import graph as G
 from passagemill.operators import handoff as H
@@ -241,6 +242,26 @@ def test_a_lost_network_ends_the_unit_recipe_and_a_resumed_build_goes_on(spark,
     assert [e["sequence"] for e in events] == list(range(1, len(events) + 1)) and events[-1]["event"] == "failed"
 
 
+def test_records_tell_where_they_come_from(spark, tmp_path):
+    rows = evidence(spark).withColumn("anchor_id", F.concat(F.lit("p"), "evidence_id")).withColumn("block_id", F.lit(""))
+    store, config = ArtifactStore(str(tmp_path)), C.parse(TOML)
+    got = B.build(spark, store, rows, "paragraph-qa", config, "demo", "s", experiment=None)
+    published = store.shard_rows(got["record_shards"])
+    assert all(r["metadata"]["source_anchor_ids"] == ["p" + r["metadata"]["evidence_ids"][0]] and r["metadata"]["enrichment_id"].startswith("enr-") for r in published)
+    assert len({r["metadata"]["enrichment_id"] for r in published}) == 4
+    assert got["records_uri"] == store.uri(f"{got['dataset_id']}/{got['dataset_version']}/records")
+    ids = [r.enrichment_id for r in S.enrichment_id(spark.createDataFrame([(["a", "b"], ["x"]), (["b", "a", "a"], ["x"]), (["b"], ["x"])], "h array<string>, a array<string>"), "h", "a", "m").collect()]
+    assert ids[0] == ids[1] != ids[2]
+
+
+def test_handoffs_ask_models(spark):
+    class Model:
+        respond = staticmethod(lambda role, messages: json.dumps({"instruction": "q", "answer": messages[1]["content"]}) if role == "generator" else " a claim ")
+
+    pool = clients.Pool(Model)
+    assert H.ModelQuestions(pool, clients.Role("generator")).generate("t") == ("q", "t") and H.ModelClaims(pool, clients.Role("claim")).claim("t") == "a claim"
+
+
 def test_two_stores_get_the_same_bytes(spark, tmp_path):
     rows = spark.range(25).selectExpr("24 - id as ordinal", "concat('r', id) as record_id", "named_struct('b', id, 'a', null) as metadata")
     shards = [ArtifactStore(str(tmp_path / name)).publish_rows(df, "records", shard_rows=10) for name, df in (("x", rows), ("y", rows.repartition(7)))]
