@@ -28,6 +28,7 @@ import struct
 import uuid
 import zipfile
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -68,6 +69,11 @@ def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def _shown(page_id) -> str:
+    """An id as a part of a record's name; empty for none. (So an id that is an empty text reads back as none.)"""
+    return "" if page_id is None else quote(str(page_id), safe="")
+
+
 def _clean(value: str) -> str:
     return "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in value)
 
@@ -79,10 +85,10 @@ def record(page_id, url: str | None, payload: bytes, refers_to, serial: str) ->
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:x-page:{'' if page_id is None else page_id}:{serial}>",
+        f"WARC-Record-ID: <urn:x-page:{_shown(page_id)}:{serial}>",
         "WARC-Date: 1970-01-01T00:00:00Z",
         *([f"WARC-Target-URI: {_clean(url)}"] if url else []),
-        *([f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:x-page:{refers_to}>"] if refers_to is not None else []),
+        *([f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:x-page:{_shown(refers_to)}>"] if refers_to is not None else []),
         f"WARC-Payload-Digest: sha1:{payload_digest(payload)}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
@@ -276,8 +282,8 @@ def read_record(data: bytes) -> tuple[str, int, str, str, str]:
     digest = fields["warc-payload-digest"].removeprefix("sha1:")
     if fields["warc-type"] == "response" and (len(payload) != length or payload_digest(payload) != digest):
         raise ValueError("a payload doesn't match its digest")
-    refers = fields.get("warc-refers-to", "").removeprefix("<urn:x-page:").removesuffix(">")
-    return fields["warc-record-id"].split(":")[2], length, digest, fields["warc-type"], refers
+    refers = unquote(fields.get("warc-refers-to", "").removeprefix("<urn:x-page:").removesuffix(">"))
+    return unquote(fields["warc-record-id"].split(":")[2]), length, digest, fields["warc-type"], refers
 
 
 def _records(batches) -> Iterator[pa.RecordBatch]:

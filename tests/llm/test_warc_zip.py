@@ -107,3 +107,9 @@ def test_odd_tables(spark):
     assert got == [("5", "response", None), ("5", "response", None), ("None", "revisit", 5)]
     small = warc_zip.warc_round_trip(spark.createDataFrame([(1, "u", "q"), (2, "u", "q")], SCHEMA), min_payload=2)
     assert {r.record_type for r in small.collect()} == {"response"}
+
+
+def test_ids_that_are_texts(spark):
+    rows = [("a:b", "u", "q"), ("ü >\r\nX: y", "u", "q"), ("%3A", "u", "r")]
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc_zip.warc_round_trip(spark.createDataFrame(rows, SCHEMA.replace("page_id long", "page_id string"))).collect()}
+    assert got == {"a:b": ("revisit", "ü >\r\nX: y"), "ü >\r\nX: y": ("response", None), "%3A": ("response", None)}
