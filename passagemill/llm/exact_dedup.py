@@ -62,9 +62,7 @@ def groups(df: DataFrame, id_col: str, text_col: str, salts: int = SALTS) -> Dat
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """(id_col, keep_id, group_size, kept, text_sha256) of every row; see the module's docstring."""
     found = common.materialize(
-        groups(df, id_col, text_col, salts).select(
-            "digest", "keep_id", "group_size", F.xxhash64("content").alias("content_key"), F.length("content").alias("content_length")
-        ),
+        groups(df, id_col, text_col, salts).select("digest", "keep_id", "group_size"),
         "exact-groups",
     )
     members = normalised(df, id_col, text_col, False)

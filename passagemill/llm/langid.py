@@ -9,7 +9,7 @@ with one language, 1 - distance / largest distance.
 
 Training: documents whose crc32(id as text) mod 5 is not 0, with a language, in one pass that combines counts in each task
 before the shuffle; a profile has `top` entries, so what is collected is `top` rows a language, bounded by MAX_LANGUAGES.
-N-grams are counted as packed code points, exactly, with no hashing; whole texts are read, in pieces of bounded memory.
+N-grams are counted as packed code points, exactly, with no hashing; whole texts are read, in chunks.
 
 Defined cases: null text or no letters = und with score 0; null ids are hashed as an empty text; no training rows = und for
 all; repeated rows get a row each; an empty table gives an empty table; other columns are ignored.
@@ -28,6 +28,8 @@ from . import common
 
 TOP, SIZES, FOLDS, UNKNOWN = 400, 3, 5, "und"
 MAX_LANGUAGES = 1000
+#: Characters of a text that are read at once.
+CHUNK = 1 << 20
 
 
 def _letters() -> np.ndarray:
@@ -39,21 +41,33 @@ _TABLE: list[np.ndarray] = []
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams, numbers); an n-gram is its code points, 21 bits each."""
+    """(n-grams, numbers); an n-gram is its code points, 21 bits each. Read in chunks, so that arrays are of bounded length."""
     if not _TABLE:
         _TABLE.append(_letters())
-    codes = np.frombuffer((" " + text.lower() + " ").encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
-    letter = _TABLE[0][codes]
-    if not letter.any():
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    codes = np.where(letter, codes, 32)
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]  # one blank after each word
-    keep[0] = True
-    codes = codes[keep]
-    two = codes[:-1] << 21 | codes[1:]
-    three = two[:-1] << 21 | codes[2:]
-    return np.unique(np.concatenate([codes[codes != 32], two, three]), return_counts=True)
+    text = " " + text.lower() + " "
+    carry, after_letter, known = np.empty(0, np.int64), True, []
+    for at in range(0, len(text), CHUNK):
+        codes = np.frombuffer(text[at : at + CHUNK].encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+        letter = _TABLE[0][codes]
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]  # one blank after each word
+        keep[0] |= after_letter  # and one before the first
+        after_letter = bool(letter[-1])
+        new = np.where(letter, codes, 32)[keep]
+        joined, k = np.concatenate([carry, new]), len(carry)
+        two = joined[:-1] << 21 | joined[1:]
+        three = two[:-1] << 21 | joined[2:]
+        known.append(np.unique(np.concatenate([new[new != 32], two[max(0, k - 1) :], three[max(0, k - 2) :]]), return_counts=True))
+        carry = joined[-2:]
+        if len(known) > 8:
+            known = [_merged(known)]
+    values, counts = _merged(known) if len(known) > 1 else known[0]
+    return values, counts
+
+
+def _merged(known: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    values, where = np.unique(np.concatenate([v for v, _ in known]), return_inverse=True)
+    return values, np.bincount(where, np.concatenate([n for _, n in known]), len(values)).astype(np.int64)
 
 
 def ranked(values: np.ndarray, counts: np.ndarray, top: int) -> np.ndarray:
@@ -102,8 +116,7 @@ def _counts(batches):
         for lang, all_texts in texts.items():
             found = [g for g in map(grams, all_texts) if len(g[0])]
             if found:
-                values, where = np.unique(np.concatenate([g[0] for g in found]), return_inverse=True)
-                total = np.bincount(where, np.concatenate([g[1] for g in found])).astype(np.int64)
+                values, total = _merged(found)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values)), pa.array(values), pa.array(total)], ["lang", "gram", "n"])
 
 

@@ -35,6 +35,10 @@ from . import common
 CAPACITY, END_ID, TOKENIZER = 2048, 0, "word_bpe_49k.json"
 #: Chunks that a worker remembers, and the longest that it does, in bytes.
 REMEMBERED, LONGEST = 600_000, 48
+#: Chunks by which an encoder tells whether the tokenizer normalises as its short way does.
+PROBES = ("Hello", "wORLD.", "Übergrößen,", "a", "Ça")
+#: Slots for each length up to which a plan is broadcast.
+SLOTS = 16
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long, part int, local long"
 
 
@@ -58,15 +62,21 @@ class ChunkEncoder:
         # the byte-level alphabet: printable Latin-1 characters stand for themselves, other bytes follow from 256 on
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         self.letters = dict(zip(sorted(set(range(256)) - set(shown)), range(256, 512)))
+        # a tokenizer that normalises otherwise goes the whole way with every chunk
+        self.direct = all(self._whole([c])[0] == self._word(c.rstrip(".,").lower()) + (self._word(c[-1]) if c[-1] in ".," else b"") for c in PROBES)
 
     def _word(self, word: str) -> bytes:
         ids = [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [struct.pack(f"<{len(ids := x.ids)}I", *ids) for x in found]
+
     def _learn(self, chunks: list[bytes], into: dict[bytes, bytes]) -> None:
-        other, marks = [], {m: self._word(m) for m in ".,"} | {"": b""}
+        other, marks = [], {m: self._word(m) for m in ".,"} | {"": b""} if self.direct else {}
         for chunk in chunks:
-            plain = self.PLAIN(chunk.decode())
+            plain = self.direct and self.PLAIN(chunk.decode())
             if not plain:
                 other.append(chunk)
                 continue
@@ -77,8 +87,7 @@ class ChunkEncoder:
             into[chunk] = ids + marks[mark]
         for at in range(0, len(other), 1000):
             part = other[at : at + 1000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)):
-                into[chunk] = struct.pack(f"<{len(ids := found.ids)}I", *ids)
+            into.update(zip(part, self._whole([c.decode() for c in part])))
 
     def encode(self, text: bytes) -> bytes:
         chunks = text.split()
@@ -189,10 +198,12 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenize
     bases = counts.select("part", "length", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
     # at most `capacity` rows, whatever the corpus
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("count")).collect()}
-    slots = spark.createDataFrame(plan(histogram, capacity), "length long, lo long, hi long, first long, each long, at long")
+    planned = plan(histogram, capacity)
+    slots = spark.createDataFrame(planned, "length long, lo long, hi long, first long, each long, at long")
     ranked = pieces.join(bases.hint("merge"), ["part", "length"]).withColumn("rank", F.col("base") + F.col("local"))
-    # the plan has a few rows a length, so its size is bounded by the capacity
-    placed = ranked.join(F.broadcast(slots), (ranked["length"] == slots["length"]) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).drop(slots["length"])
+    # the plan has a few rows a length, which is checked; a longer one is joined on the length
+    slots = F.broadcast(slots) if len(planned) <= SLOTS * capacity else slots.hint("merge")
+    placed = ranked.join(slots, (ranked["length"] == slots["length"]) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))).drop(slots["length"])
     return placed.select(
         F.col("id").alias(id_col),
         "piece",
