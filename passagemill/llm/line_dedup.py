@@ -245,7 +245,7 @@ def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = distinct.select("d", "first", "n").join(roots.hint("merge"), "d", "left")
     classes = classes.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "d"))
     firsts = classes.groupBy("root").agg(F.min("first").alias("stays"))
-    classes = classes.join(firsts.hint("merge"), "root").select("d", "stays", (F.col("first") != F.col("stays")).alias("near"))
+    classes = common.skew_join(classes, firsts, ["root"]).select("d", "stays", (F.col("first") != F.col("stays")).alias("near"))
     # rows of a few bytes; AQE splits a line that very many documents hold
     again = lines.select("doc", "id", "pos", "d").join(classes.hint("merge"), "d").where(place != F.col("stays"))
     return again.groupBy("doc").agg(F.sort_array(F.collect_set("pos")).alias("dropped"), F.count_distinct(F.when(F.col("near"), F.col("pos"))).alias("n_near"))
@@ -280,6 +280,30 @@ def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
     return line_report(common.table(spark, sf_dir, "documents"))
 
 
+def _oracle() -> str:
+    """The same in DuckDB, for the production parameters: alike lines share what is left of them without one symbol."""
+    return f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS rk, doc_id, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (SELECT rk, doc_id, i - 1 AS pos, ls[i] AS line FROM (SELECT *, unnest(range(1, length(ls) + 1)) AS i FROM docs) WHERE regexp_matches(ls[i], '[^ \\t\\n\\x0b\\f\\r]')),
+distinct_lines AS (SELECT line, row_number() OVER (ORDER BY min(struct_pack(a := coalesce(doc_id, -1), b := pos))) AS d, min(struct_pack(a := coalesce(doc_id, -1), b := pos, c := rk)) AS first, count(*) AS n FROM lines GROUP BY line),
+able AS (SELECT d, length(string_split(line, ' ')) >= {WORDS} AS kind, CASE WHEN length(string_split(line, ' ')) >= {WORDS} THEN string_split(line, ' ') ELSE string_split(line, '') END AS s FROM distinct_lines WHERE length(line) >= {MIN_CHARS}),
+forms AS (SELECT d, kind, length(s) AS n, j, array_to_string(s[1:j - 1] || s[j + 1:], chr(1)) AS form FROM (SELECT *, unnest(range(1, length(s) + 1)) AS j FROM able)),
+whole AS (SELECT d, kind, length(s) AS n, array_to_string(s, chr(1)) AS form FROM able),
+hubs AS (SELECT kind, n, j, form, min(d) AS u FROM forms GROUP BY ALL HAVING count(*) > 1),
+links AS (SELECT DISTINCT u, d AS v FROM forms JOIN hubs USING (kind, n, j, form) WHERE u <> d UNION SELECT whole.d, forms.d FROM forms JOIN whole ON forms.kind = whole.kind AND forms.n = whole.n + 1 AND forms.form = whole.form),
+both_ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach AS (SELECT u, u AS r FROM both_ways UNION SELECT b.v, reach.r FROM reach JOIN both_ways b ON b.u = reach.u),
+roots AS (SELECT u AS d, min(r) AS root FROM reach GROUP BY u),
+classes AS (SELECT line, first, min(first) OVER (PARTITION BY coalesce(root, d)) AS stays FROM distinct_lines LEFT JOIN roots USING (d)),
+gone AS (SELECT rk, count(*) AS n_dropped, count(*) FILTER (first <> stays) AS n_near, string_agg(pos::VARCHAR, ',' ORDER BY pos) AS dropped
+         FROM lines JOIN classes USING (line) WHERE struct_pack(a := coalesce(doc_id, -1), b := pos, c := rk) <> stays GROUP BY rk)
+SELECT doc_id, coalesce(length(ls), 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, coalesce(n_near, 0) AS n_near, coalesce(dropped, '') AS dropped FROM docs LEFT JOIN gone USING (rk)
+"""
+
+
+SQL = {"op6_line_dedup": _oracle()}
+
+
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay, without their dropped lines; n_chars follows the text."""
     return line_dedup(docs).withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)

@@ -160,14 +160,3 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def op2_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     return simhash_components(common.table(spark, sf_dir, "documents"))
-
-
-def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents alike at 0.8 of their five-word shingles, the one with the smallest id stays; columns as they came.
-
-    `near` takes this module's links of five-word fingerprints as candidates, and those that two bits miss at 0.8 from MinHash bands.
-    A document without an id stays unless a copy stays.
-    """
-    from . import near  # which imports this module
-
-    return near.near_dedup(docs)

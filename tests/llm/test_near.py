@@ -64,14 +64,14 @@ def test_the_stage_drops_copies_that_differ_in_more_than_two_bits(spark, docs):
     copies = [changed(rng, t, 5) for t in base]
     far = [bin(simhash.fingerprint(a.encode()) ^ simhash.fingerprint(b.encode())).count("1") > 2 for a, b in zip(base, copies)]
     assert any(far)
-    stayed = simhash.stage(spark, docs(base + copies), "")
+    stayed = near.stage(spark, docs(base + copies), "")
     assert stayed.columns == docs([]).columns
     assert sorted(r.doc_id for r in stayed.collect()) == list(range(10))
-    assert simhash.stage(spark, docs([]), "").count() == 0
+    assert near.stage(spark, docs([]), "").count() == 0
 
 
 def test_rows_without_an_id_stay_unless_a_copy_stays(spark):
     rows = [(None, "no id and alone"), (None, "no id but a copy"), (7, "no id but a copy"), (None, "twice without"), (None, "twice without"), (5, "one id, two texts"), (5, "the other one"), (6, "same row"), (6, "same row")]
-    got = simhash.stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()
+    got = near.stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()
     want = [(None, "no id and alone"), (7, "no id but a copy"), (None, "twice without"), (5, "one id, two texts"), (5, "the other one"), (6, "same row")]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
