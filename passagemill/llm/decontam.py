@@ -285,3 +285,32 @@ def op9_decontamination(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, columns as they came."""
     return contamination(docs, common.table(spark, sf_dir, "benchmark")).where(F.size("items") == 0).select("held.*")
+
+
+def _oracle() -> str:
+    """The same in DuckDB: seeds are the words themselves."""
+    family = " ".join(f"WHEN length(ws) >= {least} THEN {list(masks)}" for least, masks in FAMILIES)
+    every = sorted({m for _, masks in FAMILIES for m in masks} | {"1" * k for k in range(1, FAMILIES[-1][0])})
+    words = lambda c: f"regexp_extract_all(lower(coalesce({c}, '')), '[\\pL\\pN]+')"
+    seed = "mask || ' ' || array_to_string([ws[p + z] FOR z IN range(1, length(mask) + 1) IF mask[z] = '1'], ' ')"
+    return f"""
+WITH items AS (SELECT row_number() OVER () AS ik, item_id, {words("text")} AS ws FROM benchmark),
+docs AS (SELECT row_number() OVER () AS rk, doc_id, {words("text")} AS ws FROM documents),
+im AS (SELECT *, unnest(CASE {family} WHEN length(ws) > 0 THEN [repeat('1', length(ws))] ELSE [] END) AS mask FROM items),
+iw AS (SELECT *, unnest(range(0, length(ws) - length(mask) + 1)) AS p FROM im),
+test AS (SELECT ik, p, {seed} AS seed FROM iw),
+dw AS (SELECT rk, ws, mask, unnest(range(0, length(ws) - length(mask) + 1)) AS p FROM docs, (SELECT unnest({every}) AS mask) WHERE mask IN (SELECT mask FROM im)),
+hits AS (SELECT DISTINCT rk, ik, dw.p - test.p AS o FROM (SELECT rk, p, {seed} AS seed FROM dw) dw JOIN test USING (seed)),
+gaps AS (SELECT *, CASE WHEN o - lag(o) OVER (PARTITION BY rk, ik ORDER BY o) <= {SHIFT} THEN 0 ELSE 1 END AS new FROM hits),
+laid AS (SELECT rk, ik, o, sum(new) OVER (PARTITION BY rk, ik ORDER BY o) AS c FROM gaps),
+agree AS (SELECT rk, ik, c, j, max(CASE WHEN o + j >= 1 AND d.ws[o + j] = i.ws[j] THEN 1 ELSE 0 END) AS a, any_value(least(length(i.ws), {STRETCH})) AS stretch
+          FROM (SELECT laid.*, unnest(range(1, length(items.ws) + 1)) AS j FROM laid JOIN items USING (ik)) l JOIN docs d USING (rk) JOIN items i USING (ik) GROUP BY rk, ik, c, j),
+cum AS (SELECT *, sum(a) OVER w AS s FROM agree WINDOW w AS (PARTITION BY rk, ik, c ORDER BY j)),
+run AS (SELECT rk, ik, j, stretch, s - coalesce(lag(s, {STRETCH}) OVER (PARTITION BY rk, ik, c ORDER BY j), 0) AS n FROM cum),
+most AS (SELECT rk, ik, max(n)::DOUBLE / any_value(stretch) AS most FROM run WHERE j >= stretch GROUP BY rk, ik HAVING most >= {SHARE}),
+held AS (SELECT rk, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS items, max(most) AS most FROM most JOIN items USING (ik) GROUP BY rk)
+SELECT doc_id, held.rk IS NOT NULL AS contaminated, coalesce(items, '') AS items, coalesce(most, 0)::DOUBLE AS overlap FROM docs LEFT JOIN held USING (rk)
+"""
+
+
+SQL = {"op9_decontamination": _oracle()}

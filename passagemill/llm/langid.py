@@ -160,3 +160,26 @@ def language_id(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def op7_language_id(spark, sf_dir: str) -> DataFrame:
     return language_id(common.table(spark, sf_dir, "documents"))
+
+
+def _oracle() -> str:
+    """The same in DuckDB, which has no CRC-32: it is folded over the id's bytes, bit by bit."""
+    crc = "list_reduce(list_transform(range(1, length(s) + 1), lambda i: ascii(substr(s, i, 1))::BIGINT), lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, xor(c, b)), 4294967295::BIGINT)"
+    order = "ORDER BY n DESC, length(gram), gram"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS rk, doc_id, lang, coalesce(doc_id::VARCHAR, '') AS s, trim(regexp_replace(lower(coalesce(text, '')), '[^\\pL]+', ' ', 'g')) AS words FROM documents),
+d AS (SELECT rk, doc_id, lang, xor({crc}, 4294967295) % {FOLDS} AS fold, ' ' || words || ' ' AS w FROM t),
+each AS (SELECT rk, w, k, unnest(range(1, length(w) - k + 2)) AS i FROM d, range(1, {SIZES + 1}) r(k) WHERE w <> '  '),
+g AS (SELECT rk, substr(w, i, k) AS gram, count(*) AS n FROM each WHERE substr(w, i, k) <> ' ' GROUP BY ALL),
+told AS (SELECT lang, gram, sum(n) AS n FROM g JOIN d USING (rk) WHERE fold <> 0 AND lang IS NOT NULL GROUP BY ALL),
+known AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang {order}) - 1 AS place FROM told QUALIFY place < {TOP}),
+mine AS (SELECT rk, gram, row_number() OVER (PARTITION BY rk {order}) - 1 AS rank FROM g QUALIFY rank < {TOP}),
+far AS (SELECT rk, l.lang, sum(CASE WHEN place IS NULL THEN {TOP} ELSE least(abs(place - rank), {TOP}) END) AS far, count(*) * {TOP} AS most
+        FROM mine CROSS JOIN (SELECT DISTINCT lang FROM known) l LEFT JOIN known ON known.lang = l.lang AND known.gram = mine.gram GROUP BY rk, l.lang),
+near AS (SELECT rk, lang, far, coalesce(lead(far) OVER x, most) AS rest, row_number() OVER x AS nth FROM far WINDOW x AS (PARTITION BY rk ORDER BY far, lang))
+SELECT doc_id, fold = 0 AS held_out, coalesce(near.lang, '{UNKNOWN}') AS lang_pred, CASE WHEN coalesce(rest, 0) > 0 THEN 1 - far / rest ELSE 0 END::DOUBLE AS score
+FROM d LEFT JOIN near ON near.rk = d.rk AND nth = 1
+"""
+
+
+SQL = {"op7_language_id": _oracle()}

@@ -17,4 +17,4 @@ QUERIES = {
     "op10_pii_surrogates": pii.op10_pii_surrogates,
 }
 
-ORACLES = {**secret_scan.SQL, **warc_zip.SQL, **exact_dedup.SQL}
+ORACLES = {**secret_scan.SQL, **warc_zip.SQL, **exact_dedup.SQL, **line_dedup.SQL, **langid.SQL, **decontam.SQL}
