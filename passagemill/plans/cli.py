@@ -107,21 +107,23 @@ def run(args: argparse.Namespace, spark=None) -> dict | list:
         case ("job", _):
             return _job_events(store, args.job_id, args.after)
         case ("evaluation-set", "exact-recall"):
-            from ..functions.hashing import make_id
+            from ..session import local_session
 
-            manifest = _dataset(store, args.dataset)
-            train = [r for r in store.shard_rows(manifest["record_shards"]) if r["split"] == "train" and (r.get("metadata") or {}).get("research_role", "training") == "training"]
-            flags = {"research_role": "exact_recall", "training_eligible": False}
-            copies = [{**r, "record_id": make_id(r["record_id"], "exact-recall", manifest["dataset_version"]), "source_record_id": r["record_id"], **flags, "metadata": {**r["metadata"], **flags}} for r in train]
-            return E.freeze(store, copies, args.name, "exact_recall")
+            manifest, spark = _dataset(store, args.dataset), spark or local_session()
+            records = spark.read.json([store.path(store.key(s["uri"])) for s in manifest["record_shards"]]).drop("ordinal")
+            return E.freeze_table(spark, store, E.exact_recall(records, manifest["dataset_version"]), args.name, "exact_recall")
         case ("evaluation-set", "import"):
             with open(args.path, encoding="utf-8") as f:
                 return E.freeze(store, [json.loads(x) for x in f if x.strip()], args.name, args.role)
         case ("research-package", "create"):
+            from ..session import local_session
+
             manifest = store.get_json(store.key(args.dataset))
-            return E.create_package(store, args.name, {"uri": args.dataset, "dataset_version": manifest["dataset_version"], "checksum": checksum(manifest)}, args.set)
+            return E.create_package(store, args.name, {"uri": args.dataset, "dataset_version": manifest["dataset_version"], "checksum": checksum(manifest)}, args.set, spark or local_session())
         case ("research-package", "show"):
-            return E.load_package(store, args.uri)
+            from ..session import local_session
+
+            return E.load_package(store, args.uri, spark or local_session())
     raise AssertionError(args)
 
 

@@ -262,6 +262,27 @@ def test_handoffs_ask_models(spark):
     assert H.ModelQuestions(pool, clients.Role("generator")).generate("t") == ("q", "t") and H.ModelClaims(pool, clients.Role("claim")).claim("t") == "a claim"
 
 
+def test_from_build_to_package_on_the_command_line(spark, tmp_path, capsys):
+    store = ArtifactStore(str(tmp_path / "s"))
+    got = B.build(spark, store, evidence(spark, 20), "paragraph-qa", C.parse(TOML), "demo", "s")
+    uri = store.uri(got["records_uri"].removeprefix("storage://shared/").removesuffix("records") + "manifest.json")
+    call = lambda *args: (cli.main(["--store", str(tmp_path / "s"), *args], spark), capsys.readouterr().out)
+    told = json.loads(call("evaluation-set", "exact-recall", "--dataset", uri, "--name", "x")[1])
+    assert told["record_count"] == got["train_count"] and told["record_shards"]
+    assert json.loads(call("evaluation-set", "exact-recall", "--dataset", uri, "--name", "x")[1])["version"] == told["version"]
+    rows = store.shard_rows(told["record_shards"])
+    assert all(r["split"] == "evaluation" and r["metadata"]["training_eligible"] is False and r["metadata"]["research_role"] == "exact_recall" and r["source_record_id"] for r in rows)
+    package = json.loads(call("research-package", "create", "--dataset", uri, "--name", "p", "--set", told["uri"])[1])
+    assert json.loads(call("research-package", "show", package["uri"])[1])["version"] == package["version"]
+    assert call("dataset", "export", uri, "--to", str(tmp_path / "out.jsonl"))[0] == 0 and len((tmp_path / "out.jsonl").read_text().splitlines()) == got["accepted_count"]
+    assert not list(tmp_path.rglob("pending-*"))
+    with pytest.raises(ValueError):
+        E.freeze_table(spark, store, spark.createDataFrame([("a", None)], "record_id string, source_record_id string"), "bad", "exact_recall")
+    (tmp_path / "s" / store.key(told["record_shards"][0]["uri"])).write_text("{}\n")
+    with pytest.raises(StoreConflict):
+        E.verify_set(store, told["uri"], spark=spark)
+
+
 def test_two_stores_get_the_same_bytes(spark, tmp_path):
     rows = spark.range(25).selectExpr("24 - id as ordinal", "concat('r', id) as record_id", "named_struct('b', id, 'a', null) as metadata")
     shards = [ArtifactStore(str(tmp_path / name)).publish_rows(df, "records", shard_rows=10) for name, df in (("x", rows), ("y", rows.repartition(7)))]
