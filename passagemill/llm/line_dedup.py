@@ -198,7 +198,8 @@ def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> Dat
     crowded = keyed.join(sizes.join(paired.hint("merge"), "key", "left_anti").select("key").hint("merge"), "key").select("d").distinct()
     crowded = common.materialize(crowded, "crowded-lines")
     needed = pairs.select(F.col("u").alias("d")).unionByName(pairs.select(F.col("v").alias("d"))).unionByName(crowded).distinct()
-    known = common.materialize(texts(needed).withColumn("line", symbols(F.col("line"), words)), "candidate-lines")
+    known = texts(needed).select("d", (F.size(F.split("line", " ")) >= words).alias("kind"), symbols(F.col("line"), words).alias("line"))
+    known = common.materialize(known, "candidate-lines")
     both = pairs.join(known.select(F.col("d").alias("u"), F.col("line").alias("a")).hint("merge"), "u")
     both = both.join(known.select(F.col("d").alias("v"), F.col("line").alias("b")).hint("merge"), "v")
     # written before they are filtered: a filter would be pushed below the steps and repeat them
@@ -210,10 +211,10 @@ def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> Dat
         return found
     held = known.join(crowded.hint("merge"), "d", "left_semi")
     # not in one step: each form would carry the whole line
-    forms = held.select("d", F.size("line").alias("n"), left_out(F.col("line")).alias("forms"))
-    forms = forms.select("d", "n", F.explode("forms").alias("x")).select("d", "n", "x.place", "x.one", "x.two")
+    forms = held.select("d", "kind", F.size("line").alias("n"), left_out(F.col("line")).alias("forms"))
+    forms = forms.select("d", "kind", "n", F.explode("forms").alias("x")).select("d", "kind", "n", "x.place", "x.one", "x.two")
     forms = common.materialize(forms, "line-forms")
-    short, whole, form = forms.where("place >= 0"), forms.where("place < 0"), ["one", "two"]
+    short, whole, form = forms.where("place >= 0"), forms.where("place < 0"), ["kind", "one", "two"]
     # the same place left out of both: one symbol is another
     other = short.groupBy(*form, "n", "place").agg(F.min("d").alias("u"), F.max("d").alias("most")).where("u <> most").select(*form, "n", "place", "u")
     swapped = short.join(other.hint("merge"), [*form, "n", "place"]).where("u <> d").select("u", F.col("d").alias("v"))
@@ -271,8 +272,9 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     kept = df.columns
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("held"), document_key(id_col, text_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
     rows = rows.join(drops.hint("merge"), "doc", "left")
-    lines = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("dropped", i))
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(lines, "\n"))
+    # a difference of sets: a test of each line against all that are dropped would cost their product
+    kept_lines = lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped")), lambda i: F.get(lines, i))
+    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(bind(F.split("text", "\n", -1), kept_lines), "\n"))
     return rows.select(*[text.alias(c) if c == text_col else F.col(f"held.`{c}`").alias(c) for c in kept])
 
 

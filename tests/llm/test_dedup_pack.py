@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from passagemill.llm import exact_dedup, packing, simhash
+from passagemill.llm import exact_dedup, near, packing, simhash
 from passagemill.llm.components import components
 
 from .conftest import ODD
@@ -132,7 +132,7 @@ def test_simhash_rows(spark, docs):
     assert [got[i].component_id for i in range(len(texts))] == want
     assert [int(got[i].fingerprint, 16) for i in range(len(texts))] == points
     assert simhash.simhash_components(docs([])).count() == 0
-    assert simhash.stage(spark, docs(texts), "").count() == len(set(want))
+    assert near.stage(spark, docs(texts), "").count() == len(set(want))
 
 
 def test_components_of_a_long_chain(spark):

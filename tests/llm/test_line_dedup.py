@@ -113,6 +113,19 @@ def test_near_copies_of_a_very_long_line(spark, docs):
     assert [got[i].n_dropped for i in range(70)] == [0] + [1] * 69 and time.time() - began < 60
 
 
+def test_words_are_not_taken_for_characters(spark, docs):
+    letters = [chr(97 + i) for i in range(25)]
+    texts = [" ".join(letters), "".join(letters), " ".join(letters[:-1]), "".join(letters[:-1]), " ".join(letters[1:]), "".join(letters[1:])]
+    got = {r.doc_id: r.n_dropped for r in ld.line_report(docs(texts), hot=1).collect()}
+    assert got == {0: 0, 1: 0, 2: 1, 3: 1, 4: 1, 5: 1}
+
+
+def test_a_text_of_very_many_repeated_lines(spark, docs):
+    began = time.time()
+    got = {r.doc_id: r.text for r in ld.line_dedup(docs(["again\n" * 100_000 + "new", "again"])).collect()}
+    assert got == {0: "again\n\nnew".replace("\n\n", "\n"), 1: ""} and time.time() - began < 60
+
+
 def test_odd_tables(spark, docs):
     assert ld.line_report(docs([])).count() == 0
     line = "a line that is long enough to count"
