@@ -7,6 +7,8 @@ suppliers are a source graph, and events are a job log.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,9 +16,17 @@ from ..functions import hashing as H
 from ..functions import text as T
 from ..operators import evalsets as E
 from ..operators import graph as G
+from ..operators import handoff as H2
+from ..operators import knowledge as K
 from ..operators import qualification as Q
 from ..operators import records as R
+from ..operators import responder as M
 from ..sources import evidence as V
+from ..sources import manifest as S
+from ..sources import scratch
+from ..sources.store import IDENTIFIER, ArtifactStore
+from . import build as B
+from . import config as C
 from . import recipes
 
 QUERIES: dict = {}
@@ -489,3 +499,127 @@ def job_events_after(spark, d):
     from ..streaming.jobs import events_after
 
     return events_after(read(spark, d, "events").select(F.col("event_id").alias("sequence"), "event_type"), 500)
+
+
+# Whole builds: through model calls, checkpoints and published shards
+
+
+class RuleResponder:
+    """Answers by rules that SQL can state: a unit for each sentence, its statement as answer, verdicts by lengths."""
+
+    def respond(self, role: str, messages: list[dict[str, str]]) -> str:
+        text = messages[-1]["content"]
+        part = lambda name, end="": text.rpartition(f"{name}:\n")[2].partition(end)[0] if end else text.rpartition(f"{name}:\n")[2]
+        match role:
+            case "generator":
+                return json.dumps({"instruction": recipes.ASK, "answer": text})
+            case "knowledge_unit":
+                return json.dumps({"knowledge_units": [{"canonical_statement": s} for s in text.split(".") if s.strip()]})
+            case "qa_generator":
+                unit = text.partition("KNOWLEDGE UNIT:\n")[2].partition("\n\nCITED EVIDENCE:\n")[0]
+                return json.dumps({"instruction": recipes.ASK, "answer": json.loads(unit)["canonical_statement"] if "CITED EVIDENCE" in text else part("KNOWLEDGE UNIT")})
+            case "validator":
+                return json.dumps({"decision": "accept" if len(json.loads(part("CANDIDATE"))["answer"]) % 10 else "reject"})
+            case "probe_generator":
+                return json.dumps({"question": f"Is it so: {text}"})
+            case "student":
+                return "no idea"
+            case "probe_judge":
+                return json.dumps({"class": ("known", "partial", "unknown")[len(part("KNOWLEDGE UNIT", "\n\nSTUDENT RESPONSE:\n")) % 3], "reference_answer": "x"})
+            case "requirements":
+                return json.dumps({"required_slots": [], "answer_structure": "text"})
+            case "answerability":
+                return json.dumps({"answerable_at_requested_specificity": True})
+        return json.dumps({"answers_question": len(json.loads(text)["reference"]) % 7 > 0, "required_slot_coverage": 1})
+
+
+def built(spark, d: str, recipe: str) -> DataFrame:
+    """The published records of a build over the documents with text."""
+    store = ArtifactStore(scratch.scratch_path(spark, "build").removeprefix("file://").removeprefix("file:"))
+    rows = evidence(spark, d).where(T.has_text(F.col("text")))
+    got = B.build(spark, store, rows, recipe, C.parse('[models.generator]\nmodel = "rules"\n'), DATASET, "catalog", run_id="run", factory=RuleResponder)
+    message, lineage = "struct<content:string,role:string>", "struct<split_group_id:string,research_role:string,training_eligible:boolean>"
+    records = spark.read.schema(f"record_id string, split string, messages array<{message}>, metadata {lineage}").json([store.path(store.key(x["uri"])) for x in got["record_shards"]])
+    return records.select("record_id", F.get("messages", F.lit(0))["content"].alias("question"), F.get("messages", F.lit(1))["content"].alias("answer"), "metadata.split_group_id", "split", "metadata.research_role", "metadata.training_eligible")
+
+
+WHOLE_UNITS = EV + rf""", parts AS (SELECT *, string_split(text, '.') AS ps FROM ev WHERE regexp_matches(text, '\S')),
+  each AS (SELECT * EXCLUDE (ps), i, {STRIP('ps[i]')} AS canonical_statement FROM (SELECT *, unnest(range(1, length(ps) + 1)) AS i FROM parts)),
+  ku AS (SELECT *, {ID('evidence_id', 'canonical_statement')} AS knowledge_unit_id, row_number() OVER (PARTITION BY evidence_id ORDER BY i) AS pos, '{recipes.ASK}' AS question, canonical_statement AS answer FROM each WHERE canonical_statement <> ''),
+  ok AS (SELECT *, {ID('knowledge_unit_id', '0', "'probe'")} AS probe_id FROM ku WHERE length(answer) % 10 > 0)"""
+
+
+@query(f"{P1_RECORDS} {SHOW}")
+def build_paragraph_qa(spark, d):
+    return built(spark, d, "paragraph-qa")
+
+
+@query(f"WITH {CAND}, accepted AS (SELECT * FROM cand WHERE length(answer) % 7 > 0)" + finish("accepted", ID("'demo'", "candidate_id", "question", "answer"), "document_id, char_start, candidate_id") + SHOW)
+def build_paragraph_qa_qualified(spark, d):
+    return built(spark, d, "paragraph-qa-qualified")
+
+
+@query(f"WITH {WHOLE_UNITS}" + finish("ok", ID("'demo'", "knowledge_unit_id", "question", "answer"), "evidence_id, pos") + SHOW)
+def build_knowledge_unit_qa(spark, d):
+    return built(spark, d, "knowledge-unit-qa")
+
+
+@query(f"WITH {WHOLE_UNITS}, sel AS (SELECT * FROM ok WHERE length(answer) % 3 > 0)" + finish("sel", ID("'demo'", ID("probe_id", "'judgment'"), "question", "answer"), "evidence_id, pos") + SHOW)
+def build_knowledge_unit_probed_qa(spark, d):
+    return built(spark, d, "knowledge-unit-probed-qa")
+
+
+#: Stage outputs, good and bad, by stage; and whether they can be read.
+OUTPUTS = {
+    "requirements": [
+        ('{"required_slots":["a","b"],"answer_structure":"text"}', True), ('{"required_slots":"a","answer_structure":"text"}', False), ('{"required_slots":[]}', False), ("[1]", False), ("no json", False),
+        ('{"required_slots":[],"answer_structure":"x","question_validity":"odd"}', False), ('{"required_slots":[],"answer_structure":"x","requirements":[{"requirement_id":"r"},{"requirement_id":"r"}]}', False),
+    ],
+    "answerability": [
+        ('{"answerable_at_requested_specificity":false,"slot_values":{"a":{"value":3},"b":["x"],"c":"y"}}', True), ('{"answerable_at_requested_specificity":"true"}', False), ('{"answerable_at_requested_specificity":true,"slot_values":[]}', False),
+        ('{"answerable_at_requested_specificity":true,"evidence":[{"raw_source_text":"x"}]}', False), ('{"answerable_at_requested_specificity":true,"requirement_bindings":[{}]}', False), ('{"answerable_at_requested_specificity":true} x', False),
+    ],
+    "reference": [
+        ('{"answers_question":true,"required_slot_coverage":1}', True), ('{"answers_question":true,"required_slot_coverage":true}', False), ('{"answers_question":1,"required_slot_coverage":1}', False),
+        ('{"answers_question":true,"required_slot_coverage":1.5}', False), ('{"answers_question":true,"required_slot_coverage":0,"supported_claims":"x"}', False), ('{"answers_question":true,"answers_question":false,"required_slot_coverage":0.5}', True),
+    ],
+}
+
+
+class EchoResponder:
+    def respond(self, role: str, messages: list[dict[str, str]]) -> str:
+        return messages[-1]["content"]
+
+
+_READ = " UNION ALL ".join(f"SELECT '{stage}' AS stage, event_id, [{', '.join(str(ok).lower() for _, ok in texts)}][event_id % {len(texts)} + 1] AS ok FROM events" for stage, texts in OUTPUTS.items())
+
+
+@query(f"SELECT stage, event_id, CASE WHEN ok THEN 'completed' ELSE 'failed' END AS status, CASE WHEN ok THEN 1 ELSE 2 END AS attempts, CASE WHEN NOT ok THEN 'invalid_response' END AS failure_category FROM ({_READ})")
+def stage_outputs(spark, d):
+    out = None
+    for stage, texts in OUTPUTS.items():
+        raw = F.get(F.array(*[F.lit(t) for t, _ in texts]), (F.col("event_id") % len(texts)).cast("int"))
+        rows = read(spark, d, "events").select(F.col("event_id").cast("string").alias("candidate_id"), raw.alias("prompt"))
+        kind = {"requirements": Q.REQUIREMENTS, "answerability": Q.ANSWERABILITY, "reference": Q.QUALIFICATION}[stage]
+        told = M.ask(rows, M.Role(stage), "prompt", "", Q.PARSERS[stage], kind, EchoResponder, attempts=2)
+        told = told.select(F.lit(stage).alias("stage"), F.col("candidate_id").cast("long").alias("event_id"), "call.status", "call.attempts", "call.failure_category")
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
+@query("""WITH d AS (SELECT doc_id, doc_id AS n FROM documents), c AS (SELECT doc_id, unnest([n, n + 1, n + 7]) AS m, unnest([0, 1, 2]) AS nth FROM d)
+SELECT c.doc_id, string_agg(coalesce(t.text, ''), chr(10) ORDER BY nth) AS cited, array_to_string(list_sort(list(DISTINCT t.source)), '|') AS assets, 'enr-' || substr(sha256(concat_ws(chr(31), to_json(list_sort(list(DISTINCT md5(t.source))))::VARCHAR, '[]', 'unit')), 1, 32) AS enrichment
+FROM c JOIN documents t ON t.doc_id = m GROUP BY c.doc_id""")
+def unit_lineage(spark, d):
+    name = lambda n: F.concat(F.lit("ev-"), n)
+    cited = evidence(spark, d).drop("text").join(read(spark, d, "documents").select(name(F.col("doc_id")).alias("evidence_id"), F.coalesce("text", F.lit("")).alias("text")), "evidence_id").withColumn("source_sha256", F.md5("source_asset_id"))
+    n = F.col("doc_id")
+    units = read(spark, d, "documents").select(n.cast("string").alias("unit_row"), F.array(name(n), name(n + 1), name(n + 7)).alias("evidence_ids"))
+    rows = S.enrichment_id(K.with_sources(K.cite(units, cited), cited, "unit_row"), "source_hashes", "source_anchor_ids", "unit")
+    return rows.select(F.col("unit_row").cast("long").alias("doc_id"), "cited", F.array_join("source_asset_ids", "|").alias("assets"), F.col("enrichment_id").alias("enrichment"))
+
+
+@query("SELECT doc_id, regexp_full_match(source || '/' || doc_id, '[A-Za-z0-9][A-Za-z0-9._-]{0,127}') AS dataset_id, regexp_full_match(source || ':' || doc_id, '[A-Za-z0-9][A-Za-z0-9._:-]{0,255}') AS handoff_id FROM documents")
+def identifier_grammars(spark, d):
+    whole = lambda pattern, sep: F.concat("source", F.lit(sep), "doc_id").rlike(f"^(?:{pattern.pattern})$")
+    return read(spark, d, "documents").select("doc_id", whole(IDENTIFIER, "/").alias("dataset_id"), whole(H2.IDENTITY, ":").alias("handoff_id"))
