@@ -10,10 +10,12 @@ bands of four MinHash values agrees. A pair at 0.8 agrees in none with a
 probability of (1 - 0.8 ** 4) ** 32, about 5e-8, and with a smaller one above. Candidates of sizes that rule 0.8 out
 are left out, the others are verified on their whole sets, so nothing is linked that isn't alike.
 
-Bands that more than `hot` different sets share are not paired: their sets send longer keys, each of 32 bands with one of the three behind it.
-A pair at 0.8 agrees in such a double with a probability over 0.999. Doubles of more than `pivots` sets, as in a large group of
-near copies, are compared with that many of their sets each, so that costs as many rows a set however large the group. A pair is lost
-there only if it agrees in crowded doubles only and no chain of alike sets leads over their pivots; tests measure it.
+Bands that more than `hot` different sets share are not paired; their sets are joined exactly instead. Shingles are put in one order for all
+of them, rare ones first (by counts in `BUCKETS` buckets; any order is exact). Sets of n shingles that are alike share at least 0.8 n, so they share one
+of the first n - ceil(0.8 n) + 1. Sets that share one of those that few sets have are paired. A pair that shares only such as many have, as in a
+large group of near copies, is of two `dense` sets and shares a crowded band. These are first compared with `pivots` sets of each band, which puts most of a
+group into one component; then all dense sets of a band that are in different components still are compared, in blocks of `BLOCK` sets (`_rest`). So no pair is
+lost whose band is crowded. Blocks cost the square of what a band holds outside its large components, and the product of that and those components.
 
 Defined cases: null text = empty text; all texts without words are alike; rows with null ids come last, so one stays only
 if no row of its component has an id; of rows of one id that are alike, one stays; an empty table gives an empty table.
@@ -31,7 +33,9 @@ from ..sources import scratch
 from . import common, simhash
 from .components import components
 
-WIDTH, BANDS, ROWS, SEED, HOT, PIVOTS, BEHIND = 5, 32, 4, 42, 64, 8, 3
+WIDTH, BANDS, ROWS, SEED, HOT, PIVOTS = 5, 32, 4, 42, 64, 2
+#: Sets that a shingle is paired for at most; sets of a block and their shingles; buckets of shingles, as bits; shingles compared at once.
+FEW, BLOCK, BLOCK_SHINGLES, BUCKETS, COLUMNS = 8, 256, 500_000, 17, 2048
 
 _RANDOM = np.random.default_rng(SEED)
 _TIMES = _RANDOM.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -109,32 +113,155 @@ def _shared(keyed: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     return found, near.where(F.col("count") > hot).select("key", "set", "n")
 
 
-def candidates(sets: DataFrame, hot: int = HOT, pivots: int = PIVOTS) -> DataFrame:
-    """(u, v) pairs to verify. sets: distinct (set, n, bands, fp)."""
+def candidates(sets: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """(u, v) pairs to verify, and (key, set, n) of the bands that more than hot sets share. sets: distinct (set, n, bands, fp)."""
     point = scratch.mark()
     prints = common.materialize(sets.groupBy("fp").agg(F.min("set").alias("rep")), "fingerprints")
-    linked = simhash.links(prints.select("fp"))
+    linked = common.materialize(simhash.links(prints.select("fp")), "fingerprint-links")
     rep = lambda c: prints.select(F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep")).hint("merge")
     linked = linked.join(rep("u"), "u").join(rep("v"), "v").select("u_rep", "v_rep")
     linked = linked.unionByName(common.skew_join(sets.select("fp", "set"), prints, ["fp"]).where("set <> rep").select(F.col("set").alias("u_rep"), F.col("rep").alias("v_rep")))
     linked = linked.select(F.least("u_rep", "v_rep").alias("u"), F.greatest("u_rep", "v_rep").alias("v"))
 
     found, crowded = _shared(sets.select("set", "n", F.explode("bands").alias("key")), hot)
-    held = sets.select("set", "n", "bands").join(crowded.select("set").distinct().hint("merge"), "set", "left_semi")
-    doubles = F.array(*[F.xxhash64(F.lit(i), F.lit(k), F.get("bands", F.lit(i)), F.get("bands", F.lit((i + k) % BANDS))) for i in range(BANDS) for k in range(1, BEHIND + 1)])
-    longer, crowded = _shared(held.select("set", "n", F.explode(doubles).alias("key")), min(hot, pivots))
-    crowded = crowded.select("key", F.col("set").alias("v"), F.col("n").alias("nv"))
-    # the same order in every key, so that keys of one group have the same pivots
-    least = crowded.groupBy("key", F.pmod(F.xxhash64("v"), F.lit(pivots)).alias("of")).agg(F.min(F.struct("v", "nv")).alias("p"))
-    least = least.select("key", F.col("p.v").alias("u"), F.col("p.nv").alias("nu"))
-    met = common.skew_join(crowded, least, ["key"]).where(F.col("u") != F.col("v")).where(_sized("nu", "nv"))
-    met = met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    out = common.materialize(found.unionByName(longer).unionByName(met).unionByName(linked).distinct(), "near-candidates")
-    scratch.discard_since(sets.sparkSession, point, out)  # bands and keys are many times the pairs
-    return out
+    crowded = common.materialize(crowded, "crowded-bands")
+    out = common.materialize(found.unionByName(linked).distinct(), "near-candidates")
+    scratch.discard_since(sets.sparkSession, point, out, crowded)  # bands and keys are many times the pairs
+    return out, crowded
+
+
+def _buckets(found: np.ndarray) -> np.ndarray:
+    return (found.view(np.uint64) >> np.uint64(64 - BUCKETS)).astype(np.int64)
 
 
-def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, pivots: int = PIVOTS) -> DataFrame:
+def _bucket_counts(batches):
+    counts = np.zeros(1 << BUCKETS, np.int64)
+    for batch in batches:
+        found = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+        counts += np.bincount(_buckets(found), minlength=len(counts))
+    yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], ["counts"])
+
+
+def _first(shared):
+    """The shingles of each set of which alike sets share one."""
+
+    def run(batches):
+        counts = np.frombuffer(shared.value, np.int64)
+        for batch in batches:
+            out = []
+            for found in batch.column(1):
+                found = found.values.to_numpy(zero_copy_only=False)
+                out.append(found[np.lexsort((found, counts[_buckets(found)]))[: len(found) - (4 * len(found) + 4) // 5 + 1]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["set", "first"])
+
+    return run
+
+
+def _prefixed(crowded: DataFrame, known: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs of sets that share a first shingle of few sets, the dense sets' rows of crowded). known: (set, shingles)."""
+    spark = known.sparkSession
+    held = common.materialize(known.join(crowded.select("set").distinct().hint("merge"), "set", "left_semi"), "crowded-sets")
+    tables = held.select("shingles").coalesce(16).mapInArrow(_bucket_counts, "counts binary").toArrow()["counts"]  # at most 16, of a fixed size
+    counts = sum((np.frombuffer(t.as_py(), np.int64) for t in tables), np.zeros(1 << BUCKETS, np.int64))
+    shared = spark.sparkContext.broadcast(counts.tobytes())
+    first = held.mapInArrow(_first(shared), "set binary, first array<long>")
+    first = common.materialize(first.join(crowded.select("set", "n").distinct().hint("merge"), "set").select("set", "n", F.explode("first").alias("key")), "first-shingles")
+    paired, dense = _shared(first, min(hot, FEW))
+    paired = common.materialize(paired.distinct(), "first-pairs")
+    dense = crowded.join(dense.select("set").distinct().hint("merge"), "set", "left_semi").select("key", "set", "n")
+    return paired, common.materialize(dense, "dense-bands")
+
+
+def _pivoted(dense: DataFrame, pivots: int) -> DataFrame:
+    """(u, v): each set of a band and the band's pivots, in the same order in every band, so that bands of one group have the same ones."""
+    rows = dense.select("key", F.col("set").alias("v"), F.col("n").alias("nv"))
+    least = rows.groupBy("key", F.pmod(F.xxhash64("v"), F.lit(pivots)).alias("of")).agg(F.min(F.struct("v", "nv")).alias("p"))
+    least = least.select("key", F.col("p.v").alias("u"), F.col("p.nv").alias("nu"))
+    met = common.skew_join(rows, least, ["key"]).where(F.col("u") != F.col("v")).where(_sized("nu", "nv"))
+    return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def alike_roots(table: pa.Table) -> pa.Table:
+    """(u, v): different roots that alike sets of the two sides have. table: (unit, other, root, shingles); of one side only: within it."""
+    table = table.combine_chunks()
+    names, roots = np.unique(np.array(table["root"].to_pylist(), object), return_inverse=True)
+    sizes = table["shingles"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    other = table["other"].to_numpy().astype(bool)
+    a, b = np.flatnonzero(~other), np.flatnonzero(other)
+    b = b if len(b) else a
+    column = np.unique(table["shingles"].combine_chunks().flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    within = [np.bincount(column[other[row] == side]) for side in (False, True)]
+    width = max(map(len, within))
+    within = [np.pad(w, (0, width - len(w))) for w in within]
+    both = (within[0] > 0) & (within[1] > 0) if other.any() else within[0] > 1
+    row, column = row[both[column]], (np.cumsum(both) - 1)[column[both[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common_ = np.zeros((len(a), len(b)), np.float32)  # whole numbers below 2 ** 24
+    for at in range(0, int(both.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+        held = np.zeros((len(sizes), COLUMNS), np.float32)
+        held[row[lo:hi], column[lo:hi] - at] = 1
+        common_ += held[a] @ held[b].T
+    alike = common_.astype(np.int64) * 9 >= (sizes[a][:, None] + sizes[b][None, :]) * 4
+    u, v = np.nonzero(alike & (roots[a][:, None] != roots[b][None, :]))
+    u, v = roots[a][u], roots[b][v]
+    codes = np.unique(np.minimum(u, v) * len(names) + np.maximum(u, v))
+    pick = lambda x: pa.array(names[x].tolist(), pa.binary())
+    return pa.table([pick(codes // max(1, len(names))), pick(codes % max(1, len(names)))], names=["u", "v"])
+
+
+def _rest(dense: DataFrame, known: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
+    """roots, after the dense sets of each band that are in different components were compared.
+
+    A component of more than a block is compared as a whole with the sets that share a band with it, once whatever the number of
+    bands; sets of smaller ones are compared band by band. dense: (key, set, n); known: (set, shingles); roots: (u, root).
+    """
+    if dense.isEmpty():
+        return roots
+    rooted = dense.join(roots.withColumnRenamed("u", "set").hint("merge"), "set", "left").select("key", "set", "n", F.coalesce("root", "set").alias("root"))
+    rooted = common.materialize(rooted, "dense-roots")
+    several = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    rooted = common.materialize(common.skew_join(rooted, several, ["key"]), "several-roots")
+    if rooted.isEmpty():
+        return roots
+    blocks = F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")
+    large = rooted.select("root", "set", "n").distinct().groupBy("root").agg(blocks).where("blocks > 1").select("root")
+    large = common.materialize(large, "large-roots")
+    inside = rooted.join(large.hint("merge"), "root", "left_semi")
+    loose = common.materialize(rooted.join(large.hint("merge"), "root", "left_anti"), "loose-sets")
+    homes = common.materialize(inside.select("key", F.col("root").alias("home")).distinct(), "homes")
+    of = lambda rows, kind, name: rows.select(F.lit(kind).alias("kind"), F.hex(name).alias("name"), "set", "n", "root").distinct()
+    grouped = of(inside, "large", "root").unionByName(of(common.skew_join(loose, homes, ["key"]), "guests", "home")).unionByName(of(loose, "band", "key"))
+    grouped = common.materialize(grouped, "groups")
+    counts = grouped.groupBy("kind", "name").agg(blocks, F.min("root").alias("a"), F.max("root").alias("b")).where("kind <> 'band' or a <> b")
+    counts = common.materialize(counts.select("kind", "name", "blocks"), "group-blocks")
+    dealt = common.skew_join(grouped, counts, ["kind", "name"]).select("kind", "name", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int").alias("block"), "set", "root")
+    dealt = common.materialize(dealt, "blocks")
+
+    each = lambda kind, name, number: counts.where(F.col("kind") == kind).select(F.col("name").alias(name), F.col("blocks").alias(number))
+    home = lambda c: homes.select("key", F.hex("home").alias(c))
+    met = home("a").join(home("b").hint("merge"), "key").where("a < b").select("a", "b").distinct()
+    pairs = [
+        each("band", "a", "na").select(F.lit("band").alias("ka"), "a", "na", F.lit("band").alias("kb"), F.col("a").alias("b"), F.col("na").alias("nb")),
+        each("large", "a", "na").join(each("guests", "a", "nb").hint("merge"), "a").select(F.lit("large").alias("ka"), "a", "na", F.lit("guests").alias("kb"), F.col("a").alias("b"), "nb"),
+        met.join(each("large", "a", "na").hint("merge"), "a").join(each("large", "b", "nb").hint("merge"), "b").select(F.lit("large").alias("ka"), "a", "na", F.lit("large").alias("kb"), "b", "nb"),
+    ]
+    units = pairs[0].unionByName(pairs[1]).unionByName(pairs[2])
+    units = units.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("na") - 1))).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).where("ka <> 'band' or i <= j")
+    units = common.materialize(units.repartition("a", "b", "i", "j").withColumn("unit", F.monotonically_increasing_id()), "units")
+    left = units.select("unit", F.col("ka").alias("kind"), F.col("a").alias("name"), F.col("i").alias("block"), F.lit(False).alias("other"))
+    right = units.where("ka <> 'band' or i <> j").select("unit", F.col("kb").alias("kind"), F.col("b").alias("name"), F.col("j").alias("block"), F.lit(True).alias("other"))
+    laid = common.materialize(left.unionByName(right).join(dealt.hint("merge"), ["kind", "name", "block"]).select("unit", "other", "set", "root"), "laid-blocks")
+    whole = common.skew_join(laid, known, ["set"], salts=16).select("unit", "other", "root", "shingles")
+    more = common.materialize(whole.groupBy("unit").applyInArrow(alike_roots, "u binary, v binary").distinct(), "rest-links")
+    if more.isEmpty():
+        return roots
+    return components(roots.select("u", F.col("root").alias("v")).unionByName(more))
+
+
+def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, pivots: int = PIVOTS, block: int = BLOCK) -> DataFrame:
     """Of the rows of a component, the one with the smallest id stays, by a written row number; columns as they came."""
     common.bound_batches(df.sparkSession)
     held = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("held"), F.monotonically_increasing_id().alias("row"))
@@ -146,18 +273,20 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     sets = signed.groupBy("set").agg(F.min(place).alias("least"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("fp").alias("fp"))
     sets = common.materialize(sets, "shingle-sets")
 
-    pairs = candidates(sets.select("set", "n", "bands", "fp"), hot, pivots)
-    needed = pairs.select(F.col("u").alias("set")).unionByName(pairs.select(F.col("v").alias("set"))).distinct()
+    pairs, crowded = candidates(sets.select("set", "n", "bands", "fp"), hot)
+    needed = pairs.select(F.col("u").alias("set")).unionByName(pairs.select(F.col("v").alias("set"))).unionByName(crowded.select("set")).distinct()
     needed = sets.select("set", "least.row").join(needed.hint("merge"), "set", "left_semi")
     texts = held.select("row", text.alias("text")).join(needed.hint("merge"), "row").select("set", "text")
     known = common.materialize(texts.mapInArrow(_sets, "set binary, shingles array<long>"), "candidate-sets")
+    first, dense = _prefixed(crowded, known, hot)
+    pairs = common.materialize(pairs.unionByName(first).unionByName(_pivoted(dense, pivots)).distinct(), "near-pairs")
     # a pivot can be in very many pairs
     own = lambda c, name: common.skew_join(pairs, known.select(F.col("set").alias(c), F.col("shingles").alias(name)), [c], salts=16)
     both = own("u", "a").join(own("v", "b").hint("merge"), ["u", "v"])
     # in both / in either >= 0.8
     alike = both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("u", "v")
 
-    roots = components(alike)
+    roots = _rest(dense, known, components(alike), block)
     rooted = sets.select("set", "least").join(roots.withColumnRenamed("u", "set").hint("merge"), "set", "left")
     stays = rooted.groupBy(F.coalesce("root", "set").alias("root")).agg(F.min("least").alias("stays"))
     return held.join(stays.select("stays.row").hint("merge"), "row", "left_semi").select("held.*")

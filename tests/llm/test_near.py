@@ -75,3 +75,17 @@ def test_rows_without_an_id_stay_unless_a_copy_stays(spark):
     got = near.stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()
     want = [(None, "no id and alone"), (7, "no id but a copy"), (None, "twice without"), (5, "one id, two texts"), (5, "the other one"), (6, "same row")]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_no_pair_of_a_crowded_band_is_lost(spark, docs, block):
+    """150 chains base - middle - end: ends are alike with their middle only, so no few pivots of a crowded band lead to them."""
+    rng = random.Random(5)
+    base = " ".join(f"w{rng.randrange(9999)}" for _ in range(250))
+    texts = [base]
+    for _ in range(150):
+        texts.append(changed(rng, base, 4))
+        texts.append(changed(rng, texts[-1], 4))
+    want = brute(texts)
+    got = {r.doc_id for r in near.near_dedup(docs(texts), hot=8, block=block).collect()}
+    assert got == want and len(want) < 10
