@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, exact_dedup, langid, line_dedup, packing, pii, secret_scan, simhash, toxicity, warc_zip
+from . import decontam, exact_dedup, hard_negatives, langid, lexical, line_dedup, packing, pii, quality, secret_scan, simhash, toxicity, warc_zip
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_decontamination": decontam.op9_decontamination,
     "op10_pii_surrogates": pii.op10_pii_surrogates,
+    "op11_ranked_lexical": lexical.op11_ranked_lexical,
+    "op12_quality_cnn": quality.op12_quality_cnn,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
-ORACLES = {**secret_scan.SQL, **warc_zip.SQL, **exact_dedup.SQL, **line_dedup.SQL, **langid.SQL, **decontam.SQL}
+ORACLES = {**secret_scan.SQL, **warc_zip.SQL, **exact_dedup.SQL, **line_dedup.SQL, **langid.SQL, **decontam.SQL, **lexical.SQL, **hard_negatives.SQL}
