@@ -12,9 +12,12 @@ from typing import Any, Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from ..functions.fields import keys_within
 from ..functions.hashing import make_id
 from ..prompts import template
+from ..sources.scratch import materialize
 from ..sources.store import ArtifactStore, canonical_json
 from . import clients
 from . import graph as G
@@ -23,7 +26,7 @@ from .responder import question_answer
 PARAGRAPH_SCHEMA, COMPOSITE_SCHEMA = "paragraph-qa-handoff/v1", "composite-ku-handoff/v1"
 TEXT_LIMIT = 1_000_000
 #: Field names that would carry copied source text.
-COPIES = frozenset(("source_text", "source_evidence", "raw_source_text", "evidence_text", "text", "content", "passage"))
+COPIES = frozenset(("source_text", "paragraph_text", "evidence_text", "excerpt", "quoted_source", "context_text", "canonical_text_copy"))
 IDENTITY = re.compile(r"[A-Za-z0-9][A-Za-z0-9._:-]{0,255}")
 
 
@@ -70,10 +73,34 @@ def _messages(role: clients.Role, text: str) -> list[dict[str, str]]:
     return [{"role": "system", "content": template(role.name)}, {"role": "user", "content": text}]
 
 
-def holds_copy(value: Any) -> bool:
-    if isinstance(value, dict):
-        return any(k in COPIES or holds_copy(v) for k, v in value.items())
-    return isinstance(value, (list, tuple)) and any(map(holds_copy, value))
+def refuse_copies(value: Any) -> None:
+    """Refuses a value in which a field that would carry copied source text is anywhere; what fields hold isn't looked at."""
+    found = sorted(COPIES.intersection(keys_within(value)))
+    if found:
+        raise HandoffError(f"a field would carry copied source text: {found[0]}")
+
+
+def copy_columns(schema: DataType, path: str = "") -> list[str]:
+    """The fields of a schema, within structs, arrays and maps, that would carry copied source text."""
+    if isinstance(schema, StructType):
+        return [x for f in schema.fields for x in ([f"{path}{f.name}"] if f.name in COPIES else []) + copy_columns(f.dataType, f"{path}{f.name}.")]
+    if isinstance(schema, ArrayType):
+        return copy_columns(schema.elementType, path)
+    return [*copy_columns(schema.keyType, path), *copy_columns(schema.valueType, path)] if isinstance(schema, MapType) else []
+
+
+def copies_within(rows: DataFrame, key: str, value: str, depth: int = 100) -> DataFrame:
+    """(key, field) of the forbidden fields anywhere in rows of any shape (value: VARIANT). One pass a level of nesting, until none is left."""
+    spark, found = rows.sparkSession, None
+    level = rows.select(F.col(key).alias("row_key"), F.col(value).alias("row_value"))
+    for _ in range(depth):
+        level = materialize(spark.sql("SELECT row_key, x.key AS field, to_json(x.value) AS inner FROM {level}, LATERAL variant_explode(row_value) AS x", level=level), "fields")
+        told = level.where(F.col("field").isin(*sorted(COPIES))).select("row_key", "field")
+        found = told if found is None else found.unionByName(told)
+        level = level.where("inner LIKE '{%' OR inner LIKE '[%'").select("row_key", F.parse_json("inner").alias("row_value"))
+        if level.isEmpty():
+            return found.distinct().withColumnRenamed("row_key", key)
+    raise HandoffError(f"a value is nested more than {depth} levels deep")
 
 
 def _distinct(name: str, values: tuple[str, ...]) -> None:
@@ -168,6 +195,7 @@ class ParagraphHandoff:
             raise HandoffError("the record's tag or safety flags are wrong")
         if not all(isinstance(x, str) and 0 < len(x) <= TEXT_LIMIT for x in (self.question, self.answer)):
             raise HandoffError("question and answer must be bounded texts")
+        refuse_copies(asdict(self))
         return self
 
 
@@ -196,6 +224,7 @@ class CompositeHandoff:
             raise HandoffError("a relation is both allowed and excluded")
         if not all(0 < len(c.text) <= TEXT_LIMIT for c in self.claims):
             raise HandoffError("claims must be bounded texts")
+        refuse_copies(asdict(self))
         return self
 
 
@@ -240,5 +269,6 @@ def put(store: ArtifactStore, identity: str, handoff: ParagraphHandoff | Composi
     if not IDENTITY.fullmatch(identity):
         raise HandoffError(f"not an identity: {identity!r}")
     value = asdict(handoff.validate())
+    refuse_copies(value)
     kind = "paragraph-qa" if isinstance(handoff, ParagraphHandoff) else "composite-ku"
     return store.put(f"handoffs/{kind}/{make_id(identity)}.json", canonical_json(value))

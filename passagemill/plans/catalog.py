@@ -366,7 +366,7 @@ def staged(spark, d: str) -> DataFrame:
         F.when(n % 3 == 0, "number").when(n % 3 == 1, "set").otherwise("exact_phrase").alias("value_type"), F.lit("").alias("unit"),
         F.when(n % 3 == 0, (n % 4).cast("string")).when(n % 3 == 2, F.when(n % 2 == 0, F.col("answer")).otherwise(F.col("question"))).alias("expected_value"),
         F.when(n % 3 == 1, F.array(F.col("answer"), F.when(n % 2 == 0, F.lit("quasar")).when(n % 5 == 0, F.col("question")).otherwise(F.lit("ratio")))).alias("expected_members"),
-        F.lit(None).cast("string").alias("match_policy"), F.array().cast(f"array<{Q.QUALIFIER}>").alias("required_qualifiers"),
+        F.lit(None).cast("string").alias("match_policy"), F.array().cast(f"array<{Q.QUALIFIER}>").alias("required_qualifiers"), F.lit(True).alias("expects"),
     )
     requirements = F.struct(F.when(n % 17 == 0, "uncertain").when(n % 13 == 0, "invalid").otherwise("valid").alias("question_validity"), F.lit("text").alias("answer_structure"), F.lit("source_explicit_only").alias("allowed_inference_policy"), F.array(spec).alias("requirements"))
     answerability = F.struct((n % 11 != 0).alias("answerable"), F.lit(None).cast("string").alias("allowed_inference_policy"), F.array().cast(f"array<{Q.SPEC}>").alias("bindings"), F.create_map().cast(f"map<string,{Q.SPEC}>").alias("slot_values"))
@@ -530,12 +530,14 @@ class RuleResponder:
                 return json.dumps({"required_slots": [], "answer_structure": "text"})
             case "answerability":
                 return json.dumps({"answerable_at_requested_specificity": True})
+            case "claim":
+                return f"It is said: {text}"
         return json.dumps({"answers_question": len(json.loads(text)["reference"]) % 7 > 0, "required_slot_coverage": 1})
 
 
 def built(spark, d: str, recipe: str) -> DataFrame:
     """The published records of a build over the documents with text."""
-    store = ArtifactStore(scratch.scratch_path(spark, "build").removeprefix("file://").removeprefix("file:"))
+    store = ArtifactStore(scratch.scratch_path(spark, "build"), spark=spark)
     rows = evidence(spark, d).where(T.has_text(F.col("text")))
     got = B.build(spark, store, rows, recipe, C.parse('[models.generator]\nmodel = "rules"\n'), DATASET, "catalog", run_id="run", factory=RuleResponder)
     message, lineage = "struct<content:string,role:string>", "struct<split_group_id:string,research_role:string,training_eligible:boolean>"
@@ -623,3 +625,6 @@ def unit_lineage(spark, d):
 def identifier_grammars(spark, d):
     whole = lambda pattern, sep: F.concat("source", F.lit(sep), "doc_id").rlike(f"^(?:{pattern.pattern})$")
     return read(spark, d, "documents").select("doc_id", whole(IDENTIFIER, "/").alias("dataset_id"), whole(H2.IDENTITY, ":").alias("handoff_id"))
+
+
+from . import catalog_sources  # noqa: E402, F401  the queries of handoffs and provenance

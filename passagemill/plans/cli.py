@@ -89,9 +89,10 @@ def run(args: argparse.Namespace, spark=None) -> dict | list:
                     setattr(args, new, getattr(args, old))
             if not args.source:
                 raise C.ConfigError("--source is needed")
-            store, spark = ArtifactStore(args.store), spark or local_session()
-            source = S.resolve(store, args.source)
-            rows = V.scan(spark, *[store.path(store.key(r)) for r in source.manifest["evidence_refs"]])
+            spark = spark or local_session()
+            store = ArtifactStore(args.store, spark=spark)
+            source = S.resolve(store, args.source, spark)
+            rows = V.scan(spark, *[store.of(r).path(store.of(r).key(r)) for r in source.manifest["evidence_refs"]])
             return B.build(spark, store, rows, args.recipe or "paragraph-qa", C.load(args.config), args.dataset, source.checksum, args.experiment, args.run_id, context=S.context(spark, source.manifest), source_uri=args.source)
         case ("dataset", "show"):
             return store.get_json(store.key(args.uri))

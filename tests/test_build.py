@@ -110,7 +110,7 @@ def test_canonical_records_and_store(tmp_path):
 
 def test_references():
     manifest = {"document_ids": ["d"], "source_assets": [{"asset_id": "a", "sha256": "s"}]}
-    doc = {"schema_version": "2", "document_id": "d", "uri": "u", "source_asset": {"asset_id": "a", "blob_sha256": "s"}, "artifact_uris": {"canonical_content": "1", "source_graph": "2", "provenance_addresses": "3"}}
+    doc = {"schema": "ingest-provenance", "schema_version": "2", "document_id": "d", "uri": "u", "source_asset": {"asset_id": "a", "blob_sha256": "s"}, "artifact_uris": {"canonical_content": "1", "source_graph": "2", "provenance_addresses": "3"}}
     proven = S.check_provenance([doc], manifest)
     derived = S.references(manifest, proven)
     assert S.references(manifest | {"source_refs": [dict(derived[0])]}, proven) == derived
