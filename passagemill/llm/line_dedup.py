@@ -24,10 +24,10 @@ ties go by position; a null id comes first; an empty table gives an empty table;
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import bind, prefix_sums
+from ..functions.arrays import bind
 from . import common
 from .components import components
 
@@ -165,25 +165,25 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return _exploded(df, id_col, text_col).where(F.col("line").rlike(r"\S"))
 
 
-def left_out(line: Column) -> Column:
-    """array<(place, one, two)>: the sums of the line with each of its symbols left out; and last, as place -1, of the whole line."""
+def left_out(lines: DataFrame) -> DataFrame:
+    """(num, kind, n, place, one, two): two sums for each line (num, kind, line: array of symbols) with each of its symbols left out; and as place -1 of the whole line.
 
-    def forms(own: Column) -> Column:
-        n = F.size(line)
-
-        def at(j: Column) -> Column:  # what is before j stays in place, what is behind it moves by one
-            return F.struct(j.alias("place"), *[(F.get(own[f"a{s}"], j) + F.get(own[f"b{s}"], n) - F.get(own[f"b{s}"], j + 1)).alias(name) for s, name in ((1, "one"), (2, "two"))])
-
-        whole = F.struct(F.lit(-1).alias("place"), F.get(own["a1"], n).alias("one"), F.get(own["a2"], n).alias("two"))
-        return F.concat(F.transform(F.sequence(F.lit(0), n - 1), at), F.array(whole))
-
-    # one symbol more, so that the last sum is the total
-    return bind(F.struct(*[_with_total(line, salt, moved).alias(f"{name}{salt}") for salt in (1, 2) for name, moved in (("a", 0), ("b", 1))]), forms)
-
-
-def _with_total(line: Column, salt: int, moved: int) -> Column:
-    hashes = F.transform(line, lambda x, j: F.pmod(F.xxhash64(x, j - moved, F.lit(salt)), F.lit(1 << 40)))
-    return prefix_sums(F.concat(hashes, F.array(F.lit(0).cast("bigint"))), "bigint")
+    Sums that run over a line's symbols, which are rows: what is before a place stays where it is, what is behind it moves by one. Lines are dealt
+    over all tasks by their number, which Spark doesn't put together again however small they are before they are spread out.
+    """
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = lines.repartition(tasks, "num").select("num", "kind", F.size("line").alias("n"), F.posexplode("line").alias("place", "x"))
+    salts = (("one", 1), ("two", 2))
+    value = lambda salt, moved: F.pmod(F.xxhash64("x", F.col("place") - moved, F.lit(salt)), F.lit(1 << 40))
+    each = each.select("num", "kind", "n", "place", *[value(salt, moved).alias(f"{end}_{name}") for name, salt in salts for end, moved in (("here", 0), ("moved", 1))])
+    line = Window.partitionBy("num").orderBy("place")
+    before, behind = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every, none = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing), F.lit(0).cast("long")
+    sums = [(F.coalesce(F.sum(f"here_{name}").over(before), none) + F.sum(f"moved_{name}").over(every) - F.sum(f"moved_{name}").over(behind)).alias(name) for name, _ in salts]
+    ran = each.select("num", "kind", "n", "place", *sums, *[F.sum(f"here_{name}").over(behind).alias(f"all_{name}") for name, _ in salts])
+    form, whole = F.struct("place", "one", "two"), F.struct(F.lit(-1).alias("place"), F.col("all_one").alias("one"), F.col("all_two").alias("two"))
+    both = F.when(F.col("place") == F.col("n") - 1, F.array(form, whole)).otherwise(F.array(form))
+    return ran.select("num", "kind", "n", F.explode(both).alias("x")).select("num", "kind", "n", "x.*")
 
 
 def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> DataFrame:
@@ -199,7 +199,8 @@ def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> Dat
     crowded = common.materialize(crowded, "crowded-lines")
     needed = pairs.select(F.col("u").alias("d")).unionByName(pairs.select(F.col("v").alias("d"))).unionByName(crowded).distinct()
     known = texts(needed).select("d", (F.size(F.split("line", " ")) >= words).alias("kind"), symbols(F.col("line"), words).alias("line"))
-    known = common.materialize(known, "candidate-lines")
+    # numbered as they are written: numbers are merged faster than digests
+    known = common.materialize(known.withColumn("num", F.monotonically_increasing_id()), "candidate-lines")
     both = pairs.join(known.select(F.col("d").alias("u"), F.col("line").alias("a")).hint("merge"), "u")
     both = both.join(known.select(F.col("d").alias("v"), F.col("line").alias("b")).hint("merge"), "v")
     # written before they are filtered: a filter would be pushed below the steps and repeat them
@@ -210,17 +211,16 @@ def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> Dat
     if edits > 1:
         return found
     held = known.join(crowded.hint("merge"), "d", "left_semi")
-    # not in one step: each form would carry the whole line
-    forms = held.select("d", "kind", F.size("line").alias("n"), left_out(F.col("line")).alias("forms"))
-    forms = forms.select("d", "kind", "n", F.explode("forms").alias("x")).select("d", "kind", "n", "x.place", "x.one", "x.two")
-    forms = common.materialize(forms, "line-forms")
+    forms = common.materialize(left_out(held), "line-forms")
     short, whole, form = forms.where("place >= 0"), forms.where("place < 0"), ["kind", "one", "two"]
     # the same place left out of both: one symbol is another
-    other = short.groupBy(*form, "n", "place").agg(F.min("d").alias("u"), F.max("d").alias("most")).where("u <> most").select(*form, "n", "place", "u")
-    swapped = short.join(other.hint("merge"), [*form, "n", "place"]).where("u <> d").select("u", F.col("d").alias("v"))
+    other = short.groupBy(*form, "n", "place").agg(F.min("num").alias("u"), F.max("num").alias("most")).where("u <> most").select(*form, "n", "place", "u")
+    swapped = short.join(other.hint("merge"), [*form, "n", "place"]).where("u <> num").select("u", F.col("num").alias("v"))
     # left out of one, it is the other
-    shorter = whole.select(*form, (F.col("n") + 1).alias("n"), F.col("d").alias("u"))
-    inserted = short.join(shorter.hint("merge"), [*form, "n"]).select("u", F.col("d").alias("v"))
+    shorter = whole.select(*form, (F.col("n") + 1).alias("n"), F.col("num").alias("u"))
+    inserted = short.join(shorter.hint("merge"), [*form, "n"]).select("u", F.col("num").alias("v"))
+    named = lambda df, c: df.join(held.select(F.col("num").alias(c), F.col("d").alias(f"{c}_d")).hint("merge"), c).drop(c).withColumnRenamed(f"{c}_d", c)
+    swapped, inserted = (named(named(df, "u"), "v").select("u", "v") for df in (swapped, inserted))
     return found.unionByName(swapped).unionByName(inserted)
 
 
