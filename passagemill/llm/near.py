@@ -135,11 +135,13 @@ def _buckets(found: np.ndarray) -> np.ndarray:
 
 
 def _bucket_counts(batches):
+    """(bucket, n) of the buckets that a task's sets have: merged within the task, at most 2 ** BUCKETS rows."""
     counts = np.zeros(1 << BUCKETS, np.int64)
     for batch in batches:
         found = batch.column(0).flatten().to_numpy(zero_copy_only=False)
         counts += np.bincount(_buckets(found), minlength=len(counts))
-    yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], ["counts"])
+    (used,) = np.nonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["bucket", "n"])
 
 
 def _first(shared):
@@ -161,8 +163,9 @@ def _prefixed(crowded: DataFrame, known: DataFrame, hot: int) -> tuple[DataFrame
     """(pairs of sets that share a first shingle of few sets, the dense sets' rows of crowded). known: (set, shingles)."""
     spark = known.sparkSession
     held = common.materialize(known.join(crowded.select("set").distinct().hint("merge"), "set", "left_semi"), "crowded-sets")
-    tables = held.select("shingles").coalesce(16).mapInArrow(_bucket_counts, "counts binary").toArrow()["counts"]  # at most 16, of a fixed size
-    counts = sum((np.frombuffer(t.as_py(), np.int64) for t in tables), np.zeros(1 << BUCKETS, np.int64))
+    table = held.select("shingles").mapInArrow(_bucket_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 2 ** BUCKETS rows at most
+    counts = np.zeros(1 << BUCKETS, np.int64)
+    counts[table["bucket"].to_numpy()] = table["n"].to_numpy()
     shared = spark.sparkContext.broadcast(counts.tobytes())
     first = held.mapInArrow(_first(shared), "set binary, first array<long>")
     first = common.materialize(first.join(crowded.select("set", "n").distinct().hint("merge"), "set").select("set", "n", F.explode("first").alias("key")), "first-shingles")
@@ -278,15 +281,19 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     needed = sets.select("set", "least.row").join(needed.hint("merge"), "set", "left_semi")
     texts = held.select("row", text.alias("text")).join(needed.hint("merge"), "row").select("set", "text")
     known = common.materialize(texts.mapInArrow(_sets, "set binary, shingles array<long>"), "candidate-sets")
-    first, dense = _prefixed(crowded, known, hot)
-    pairs = common.materialize(pairs.unionByName(first).unionByName(_pivoted(dense, pivots)).distinct(), "near-pairs")
+    any_crowded = not crowded.isEmpty()  # else there is nothing to do for them
+    if any_crowded:
+        first, dense = _prefixed(crowded, known, hot)
+        pairs = common.materialize(pairs.unionByName(first).unionByName(_pivoted(dense, pivots)).distinct(), "near-pairs")
     # a pivot can be in very many pairs
     own = lambda c, name: common.skew_join(pairs, known.select(F.col("set").alias(c), F.col("shingles").alias(name)), [c], salts=16)
     both = own("u", "a").join(own("v", "b").hint("merge"), ["u", "v"])
     # in both / in either >= 0.8
     alike = both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("u", "v")
 
-    roots = _rest(dense, known, components(alike), block)
+    roots = components(alike)
+    if any_crowded:
+        roots = _rest(dense, known, roots, block)
     rooted = sets.select("set", "least").join(roots.withColumnRenamed("u", "set").hint("merge"), "set", "left")
     stays = rooted.groupBy(F.coalesce("root", "set").alias("root")).agg(F.min("least").alias("stays"))
     return held.join(stays.select("stays.row").hint("merge"), "row", "left_semi").select("held.*")
