@@ -5,9 +5,10 @@ or more), `access` (AKIA and capitals or digits, 20 or more in all) and `hex` (2
 
 The method looks at candidates over the whole corpus: the values of the base findings, and `opaque` runs of 20 or more
 of A-Za-z0-9_- that mix capitals, small letters and digits. A candidate's hash is counted by distinct repositories
-(`source`) and distinct owners (the part of it before a slash). A candidate of many owners is a widely copied
-example; one of at most `max_owners` owners that has enough different characters and no placeholder in it
-looks live. Opaque candidates that look live are added to the spans; every candidate is counted as live or copied.
+(`source`) and distinct owners (the part of it before a slash). A candidate of more than `max_owners` owners, or of more than
+`max_repositories` repositories, be they one owner's, is a widely copied example; one of few of both that has enough different
+characters and no placeholder in it looks live. Opaque candidates that look live are added to the spans; candidates are counted as live or
+copied, and a document is told the greatest numbers of owners and of repositories that one of its candidates has.
 
 Shuffles hold candidates (hash, offsets), never texts. Counting goes by (hash, owner, repository), then (hash, owner),
 then hash, combining before each shuffle, so a value that a third of the rows hold is a few rows for each map task.
@@ -30,7 +31,7 @@ HEX = r"[0-9a-f]{24,}"
 OPAQUE = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}"
 KINDS = ("assign", "access", "hex", "opaque")
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|test|xxxx|0123456|123456789|abcdef0"
-MIN_VALUE, MAX_OWNERS, MIN_DISTINCT = 6, 2, 8
+MIN_VALUE, MAX_OWNERS, MAX_REPOSITORIES, MIN_DISTINCT = 6, 2, 16, 8
 
 
 def spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
@@ -75,8 +76,8 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return by_owner.groupBy("h").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
 
 
-def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository_col: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """(id_col, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied) of every row; see the module's docstring."""
+def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", repository_col: str = "source", max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """(id_col, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, most_owners, most_repositories) of every row; see the module's docstring."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = F.transform(
         _candidates(text),
@@ -87,11 +88,13 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     rows = common.materialize(rows.withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
     each = rows.where(F.size("found") > 0).select("row", "repository", F.explode("found").alias("x"))
     each = each.select("row", "repository", F.col("x.s").alias("s"), F.col("x.k").alias("k"), F.col("x.e").alias("e"), F.col("x.h").alias("h"), F.col("x.live").alias("looks"))
-    judged = each.join(ownership(each.select("h", "repository")).hint("merge"), "h").withColumn("live", F.col("looks") & (F.col("n_owners") <= max_owners))
+    judged = each.join(ownership(each.select("h", "repository")).hint("merge"), "h").withColumn("copied", (F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories)).withColumn("live", F.col("looks") & ~F.col("copied"))
     verdicts = judged.groupBy("row").agg(
         F.collect_list(F.when(F.col("live") & (F.col("k") == 3), F.struct("s", "k", "e"))).alias("added"),
         F.count_if("live").alias("n_live"),
-        F.count_if(F.col("n_owners") > max_owners).alias("n_copied"),
+        F.count_if("copied").alias("n_copied"),
+        F.max("n_owners").alias("most_owners"),
+        F.max("n_repositories").alias("most_repositories"),
     )
     base = F.transform(F.filter("found", lambda x: x["k"] < 3), lambda x: F.struct(x["s"], x["k"], x["e"]))
     number = lambda k: F.size(F.filter("found", lambda x: x["k"] == k)).cast("long")
@@ -104,7 +107,7 @@ def secret_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
         F.sha2(_render(base), 256).alias("base_sha256"),
         _render(F.concat(base, F.coalesce("added", nothing))).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"),
-        F.coalesce("n_copied", F.lit(0)).alias("n_copied"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_copied", "most_owners", "most_repositories")],
     )
 
 
@@ -129,12 +132,12 @@ f AS (SELECT rk, source, k, vals[i] AS v, hits[i] AS hit,
         (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda x: length(x))), 0))::INT AS s FROM u),
 c AS (SELECT *, (s + length(hit))::INT AS e FROM f
       WHERE CASE k WHEN 0 THEN length(v) >= {MIN_VALUE} WHEN 3 THEN regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') ELSE true END),
-o AS (SELECT v, count(DISTINCT split_part(source, '/', 1)) AS owners FROM c GROUP BY v),
-j AS (SELECT c.*, owners, owners <= {MAX_OWNERS} AND len(list_distinct(string_split(v, ''))) >= {MIN_DISTINCT} AND NOT regexp_matches(v, '{PLACEHOLDER}') AS live FROM c JOIN o USING (v)),
+o AS (SELECT v, count(DISTINCT split_part(coalesce(source, chr(1)), '/', 1)) AS owners, count(DISTINCT coalesce(source, chr(1))) AS repositories FROM c GROUP BY v),
+j AS (SELECT c.*, owners, repositories, owners <= {MAX_OWNERS} AND repositories <= {MAX_REPOSITORIES} AND len(list_distinct(string_split(v, ''))) >= {MIN_DISTINCT} AND NOT regexp_matches(v, '{PLACEHOLDER}') AS live FROM c JOIN o USING (v)),
 g AS (SELECT rk, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
-        {shown} FILTER (k < 3) AS base, {shown} FILTER (k < 3 OR live) AS spans, count(*) FILTER (live) AS n_live, count(*) FILTER (owners > {MAX_OWNERS}) AS n_copied FROM j GROUP BY rk)
+        {shown} FILTER (k < 3) AS base, {shown} FILTER (k < 3 OR live) AS spans, count(*) FILTER (live) AS n_live, count(*) FILTER (owners > {MAX_OWNERS} OR repositories > {MAX_REPOSITORIES}) AS n_copied, max(owners) AS most_owners, max(repositories) AS most_repositories FROM j GROUP BY rk)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied, coalesce(most_owners, 0) AS most_owners, coalesce(most_repositories, 0) AS most_repositories
 FROM d LEFT JOIN g USING (rk)
 """
 

@@ -24,10 +24,12 @@ TEXTS = [
     *[f"shared sH4redExampl3KeyOfManyOwners9 {i}" for i in range(5)],
     "lonely sH4redButNotCopiedK3yOfOneOwner",
 ]
+#: Those of one owner, in as many repositories as still count as few, and in one more.
+FEW, MANY = ["few 0wnersKeyInFewRep0sitoriesOnly"] * secret_scan.MAX_REPOSITORIES, ["many 0wnersKeyInManyRep0sitories99"] * (secret_scan.MAX_REPOSITORIES + 1)
 
 
 def brute(texts, sources):
-    base, opaque, owners = [], [], {}
+    base, opaque, owners, places = [], [], {}, {}
     for t, s in zip(texts, sources):
         t = t or ""
         found = [(m.start(), k, m.end(), m[2] if k == 0 else m[0]) for k, (_, rx, ok) in enumerate(RULES) for m in rx.finditer(t) if ok(m)]
@@ -35,19 +37,24 @@ def brute(texts, sources):
         opaque.append([(m.start(), 3, m.end(), m[0]) for m in OPAQUE.finditer(t) if len(m[0]) >= 20 and all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))])
         for x in base[-1] + opaque[-1]:
             owners.setdefault(x[3], set()).add(s.split("/")[0])
+            places.setdefault(x[3], set()).add(s)
+    copied = lambda v: len(owners[v]) > 2 or len(places[v]) > secret_scan.MAX_REPOSITORIES
     looks = lambda v: len(set(v)) >= 8 and not re.search(secret_scan.PLACEHOLDER, v)
     name = lambda xs: ",".join(f"{secret_scan.KINDS[x[1]]}:{x[0]}:{x[2]}" for x in sorted(xs))
     for b, o in zip(base, opaque):
-        live = [x for x in o if looks(x[3]) and len(owners[x[3]]) <= 2]
+        live = [x for x in o if looks(x[3]) and not copied(x[3])]
         n = [sum(x[1] == k for x in b) for k in range(3)]
-        yield (*n, hashlib.sha256(name(b).encode()).hexdigest(), name(b + live), sum(looks(x[3]) and len(owners[x[3]]) <= 2 for x in b + o), sum(len(owners[x[3]]) > 2 for x in b + o))
+        yield (*n, hashlib.sha256(name(b).encode()).hexdigest(), name(b + live), sum(looks(x[3]) and not copied(x[3]) for x in b + o), sum(copied(x[3]) for x in b + o), *(max((len(d[x[3]]) for x in b + o), default=0) for d in (owners, places)))
 
 
 def test_against_brute_force(spark, docs):
-    sources = {i: f"own{i}/repo{i % 2}" for i in range(len(TEXTS))}
-    got = {r.doc_id: tuple(r)[1:] for r in secret_scan.secret_scan(docs(TEXTS, sources=sources).repartition(3)).collect()}
-    for i, want in enumerate(brute(TEXTS, [sources[i] for i in range(len(TEXTS))])):
-        assert got[i] == want, TEXTS[i]
+    texts = TEXTS + FEW + MANY
+    sources = {i: f"own{i}/repo{i % 2}" if i < len(TEXTS) else f"big/repo{i}" for i in range(len(texts))}
+    got = {r.doc_id: tuple(r)[1:] for r in secret_scan.secret_scan(docs(texts, sources=sources).repartition(3)).collect()}
+    for i, want in enumerate(brute(texts, [sources[i] for i in range(len(texts))])):
+        assert got[i] == want, texts[i]
+    few, many = got[len(TEXTS)], got[len(texts) - 1]
+    assert few[5:] == (1, 0, 1, len(FEW)) and many[5:] == (0, 1, 1, len(MANY)) and "opaque" in few[4] and "opaque" not in many[4]
     assert "opaque" in got[len(ODD)][4] and "opaque" not in got[len(TEXTS) - 2][4]
 
 
