@@ -3,7 +3,11 @@
 Entities: email addresses, card numbers (13 to 19 digits, with single blanks or hyphens between them), phone numbers,
 IPv4 addresses and the names that follow a form of address, which tells the gender. An entity is one unit, a name is one for each
 of its parts, so that "Mr John Smith" and "Mr Smith" share the surrogate of Smith. A unit's canonical form leaves out case and
-separators, so spellings of one entity are one unit (coreference); a phone with a country code keeps its "+" there.
+separators, so spellings of one entity are one unit (coreference); a phone with a country code has a "+" there, also if it is written with "00".
+
+A name's parts are replaced wherever they stand in the same document, also without a form of address: the parts that a text's titled names have are looked
+for as whole words, spelled as they were, in a second match of that text alone. Where titled names give a part two genders, the first one counts.
+A name that nowhere in its document follows a form of address isn't found.
 
 A unit's surrogate is a function of (key, type, canonical form, attempt), never of the spelling, which only tells
 where separators go: digits give digits, letters give letters of the same case; a phone's country code (by the calling codes' rule)
@@ -21,7 +25,8 @@ The key: `key`, else the session's `spark.passagemill.pii.key`, else a random on
 surrogates then agree within it only.
 
 Defined cases: null text stays null without entities; repeated rows get a row each; an empty table gives an empty
-table; other columns are ignored, and kept by `redact`, whatever their names; a domain of more than 127 labels is no address.
+table; other columns are ignored, and kept by `redact`, whatever their names; a domain of more than 127 labels in which no top level stands within
+these is no address, of another one the first labels up to such a level are.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from ..functions.arrays import bind, prefix_sums
 from . import common
 
 KEY = "spark.passagemill.pii.key"
+#: The key of the query over the driver's tables, if the session has none. Data that matter need a secret one.
+QUERY_KEY = "the query's own key, which everyone may know"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]{1,63}+){0,126}\.[A-Za-z]{2,24}"
 CARD = r"(?<![0-9A-Za-z.+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
 ADDRESS = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
@@ -43,8 +50,12 @@ PHONE = r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,
 MEN = "Mr|Herr|Monsieur|Señor|Г-н|Господин|Κύριος"
 WOMEN = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Г-жа|Госпожа|Κυρία"
 TITLE = rf"^(?:{MEN}|{WOMEN})\.?\x20"
-NAME = rf"(?<![\p{{L}}])(?:{MEN}|{WOMEN})\.?\x20\p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}"
-ENTITY = "|".join((EMAIL, ADDRESS, CARD, PHONE, NAME))
+NAME = rf"(?<![\p{{L}}])(?:{MEN}|{WOMEN})\.?\x20\p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,4}}"
+#: A phone whose country code follows two zeros.
+ABROAD = r"(?<![0-9A-Za-z+.-])00[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,5}(?:[ .-]?[0-9]{2,5}){1,4}(?![0-9A-Za-z])"
+ENTITY = "|".join((EMAIL, ADDRESS, ABROAD, CARD, PHONE, NAME))
+#: What parts the pattern of a text's own names is made of: a whole word, and more of them behind.
+WORD_BEGINS, WORD_ENDS = r"(?<![\p{L}\p{M}])", r"(?![\p{L}\p{M}])"
 #: A text without any of these has no entity.
 SIGN = rf"[@0-9]|{MEN}|{WOMEN}"
 #: Country calling codes: zones 1 and 7 have one digit, these starts two, all others three.
@@ -74,7 +85,8 @@ def entity_type(raw: Column) -> Column:
     return (
         F.when(raw.contains("@"), "email")
         .when(anchored(ADDRESS), "address")
-        .when(anchored(NAME), "name")
+        .when(raw.rlike(r"^\p{L}"), "name")
+        .when(anchored(ABROAD), "phone")
         .when(anchored(CARD), "card")
         .otherwise("phone")
     )
@@ -85,11 +97,39 @@ def name_parts(raw: Column) -> Column:
     return F.split(F.regexp_replace(raw, TITLE, ""), "(?<=[ -])")
 
 
-def units(kind: Column, raw: Column) -> Column:
-    """array<(kind, form)>: what the spellings of an entity have in common."""
-    gender = F.when(raw.rlike(f"^(?:{MEN})[. ]"), "m ").otherwise("f ")
-    form = F.when(kind == "email", F.lower(raw)).when(kind == "address", raw).otherwise(F.concat(F.when((kind == "phone") & raw.startswith("+"), "+").otherwise(""), F.regexp_replace(raw, "[^0-9]", "")))
-    part = lambda p: F.struct(kind.alias("kind"), F.concat(gender, F.lower(F.regexp_replace(p, "[ -]$", ""))).alias("form"))
+PART = "array<struct<part:string,gender:string>>"
+
+
+def _gender(raw: Column) -> Column:
+    """By the form of address; null without one."""
+    return F.when(raw.rlike(f"^(?:{MEN})\\.?\\x20"), "m ").when(raw.rlike(TITLE), "f ")
+
+
+def titled_parts(raws: Column) -> Column:
+    """array<(part, gender)>: the parts of a text's titled names, in their order."""
+    names = F.filter(raws, lambda r: r.rlike(TITLE))
+    bare = lambda p: F.regexp_replace(p, "[ -]$", "")
+    return F.array_distinct(F.flatten(F.transform(names, lambda r: F.transform(name_parts(r), lambda p: F.struct(bare(p).alias("part"), _gender(r).alias("gender"))))))
+
+
+def own_names(names: Column) -> Column:
+    """The pattern of a text that has names: all entities, and its names' parts in a row without a form of address. Parts are letters only."""
+    parts = F.array_join(F.array_distinct(F.transform(names, lambda n: n["part"])), "|")
+    return F.concat(F.lit(f"{ENTITY}|{WORD_BEGINS}(?:"), parts, F.lit(")(?:[ -](?:"), parts, F.lit(f"))*{WORD_ENDS}"))
+
+
+def units(kind: Column, raw: Column, names: Column) -> Column:
+    """array<(kind, form)>: what the spellings of an entity have in common. names: the titled parts of its text."""
+    digits = F.regexp_replace(raw, "[^0-9]", "")
+    abroad = raw.startswith("00") & (kind == "phone")
+    number = F.when(abroad, F.concat(F.lit("+"), F.substring(digits, 3, 1 << 30))).otherwise(F.concat(F.when((kind == "phone") & raw.startswith("+"), "+").otherwise(""), digits))
+    form = F.when(kind == "email", F.lower(raw)).when(kind == "address", raw).otherwise(number)
+
+    def part(p: Column) -> Column:
+        bare = F.regexp_replace(p, "[ -]$", "")
+        known = F.get(F.filter(names, lambda n: n["part"] == bare), F.lit(0))["gender"]
+        return F.struct(kind.alias("kind"), F.concat(F.coalesce(_gender(raw), known, F.lit("f ")), F.lower(bare)).alias("form"))
+
     return F.when(kind == "name", F.transform(name_parts(raw), part)).otherwise(F.array(F.struct(kind.alias("kind"), form.alias("form"))))
 
 
@@ -196,7 +236,7 @@ def _spell(raw: Column, digits: Column) -> Column:
     return F.concat(placed, F.substring(digits, F.length(F.regexp_replace(raw, "[^0-9]", "")) + 1, F.lit(1 << 30)))
 
 
-def replacement(kind: Column, raw: Column, tries: Column, key: str) -> Column:
+def replacement(kind: Column, raw: Column, names: Column, tries: Column, key: str) -> Column:
     """What stands for one spelling of an entity; tries: map from kind and form to the attempt, for those that clashed."""
 
     def of(u: Column) -> Column:
@@ -205,15 +245,16 @@ def replacement(kind: Column, raw: Column, tries: Column, key: str) -> Column:
     def spelled(made: Column) -> Column:
         first = F.get(made, F.lit(0))
         name = F.concat(F.regexp_extract(raw, TITLE, 0), F.array_join(F.zip_with(made, name_parts(raw), lambda m, p: F.concat(m, F.regexp_extract(p, "[ -]$", 0))), ""))
-        return F.when(kind == "name", name).when(kind.isin("card", "phone"), _spell(raw, F.regexp_replace(first, r"^\+", ""))).otherwise(first)
+        zeros = F.when((kind == "phone") & raw.startswith("00"), "00").otherwise("")
+        return F.when(kind == "name", name).when(kind.isin("card", "phone"), _spell(raw, F.concat(zeros, F.regexp_replace(first, r"^\+", "")))).otherwise(first)
 
-    return bind(F.transform(units(kind, raw), of), spelled)
+    return bind(F.transform(units(kind, raw, names), of), spelled)
 
 
 def entities(pieces: DataFrame) -> DataFrame:
-    """(kind, form) of the distinct units. pieces: (raws, ..)."""
-    each = pieces.select(F.explode("raws").alias("raw")).select("raw", entity_type(F.col("raw")).alias("kind"))
-    return each.select(F.explode(units(F.col("kind"), F.col("raw"))).alias("u")).select("u.kind", "u.form").distinct()
+    """(kind, form) of the distinct units. pieces: (raws, names, ..)."""
+    each = pieces.select("names", F.explode("raws").alias("raw")).select("raw", "names", entity_type(F.col("raw")).alias("kind"))
+    return each.select(F.explode(units(F.col("kind"), F.col("raw"), F.col("names"))).alias("u")).select("u.kind", "u.form").distinct()
 
 
 def attempts(found: DataFrame, key: str, rounds: int = 60) -> DataFrame:
@@ -248,14 +289,18 @@ def redact(df: DataFrame, text_col: str = "text", key: str | None = None) -> Dat
     others = [c for c in df.columns if c != text_col]
     none = F.array().cast("array<string>")
     row = df.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("held"), text.alias("text"), F.coalesce(F.when(text.rlike(SIGN), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))), none).alias("raws"))
+    row = row.withColumn("names", F.when(F.size("raws") > 0, titled_parts(F.col("raws"))).otherwise(F.array()).cast(PART))
+    row = row.withColumn("pattern", F.when(F.size("names") > 0, own_names(F.col("names"))))
     # a text is held once: as what lies between its entities, or whole if it has none
-    row = row.select("held", "raws", F.when(F.size("raws") > 0, F.split("text", ENTITY, -1)).alias("gaps"), F.when(F.size("raws") == 0, F.col("text")).alias("plain"))
+    gaps = F.when(F.col("pattern").isNotNull(), F.split("text", F.col("pattern"), -1)).when(F.size("raws") > 0, F.split("text", ENTITY, -1))
+    raws = F.when(F.col("pattern").isNotNull(), F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).otherwise(F.col("raws"))
+    row = row.select("held", raws.alias("raws"), "names", gaps.alias("gaps"), F.when(F.size("raws") == 0, F.col("text")).alias("plain"))
     row = common.materialize(row.withColumn("row", F.monotonically_increasing_id()), "entity-pieces")
     retried = common.materialize(attempts(entities(row), key), "retried")
     if retried.isEmpty():
         row = row.withColumn("tries", F.create_map().cast("map<string,int>"))
     else:
-        each = row.select("row", F.explode("raws").alias("raw")).select("row", F.explode(units(entity_type(F.col("raw")), F.col("raw"))).alias("u")).select("row", "u.kind", "u.form").distinct()
+        each = row.select("row", "names", F.explode("raws").alias("raw")).select("row", F.explode(units(entity_type(F.col("raw")), F.col("raw"), F.col("names"))).alias("u")).select("row", "u.kind", "u.form").distinct()
         each = common.skew_join(each, retried, ["kind", "form"])
         tries = each.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\x1f", "kind", "form"), "attempt"))).alias("tries"))
         row = row.join(tries.hint("merge"), "row", "left").withColumn("tries", F.coalesce("tries", F.create_map().cast("map<string,int>")))
@@ -266,7 +311,7 @@ def redact(df: DataFrame, text_col: str = "text", key: str | None = None) -> Dat
         starts = prefix_sums(F.transform(xs, lambda x: F.length(x["gap"]) + F.length(x["raw"])))
         return F.zip_with(xs, starts, lambda x, at: F.struct(x["kind"].alias("kind"), (at + F.length(x["gap"])).alias("s"), (at + F.length(x["gap"]) + F.length(x["raw"])).alias("e")))
 
-    pieces = F.transform("known", lambda x: F.concat(x["gap"], replacement(x["kind"], x["raw"], F.col("tries"), key)))
+    pieces = F.transform("known", lambda x: F.concat(x["gap"], replacement(x["kind"], x["raw"], F.col("names"), F.col("tries"), key)))
     replaced = F.when(F.size("raws") > 0, F.concat(F.array_join(pieces, ""), F.element_at("gaps", -1))).otherwise(F.col("plain"))
     empty = F.array().cast("array<struct<kind:string,s:int,e:int>>")
     out = row.select("held", replaced.alias("replaced"), F.when(F.size("raws") > 0, bind(F.col("known"), placed)).otherwise(empty).alias("pii_entities"))
@@ -274,6 +319,7 @@ def redact(df: DataFrame, text_col: str = "text", key: str | None = None) -> Dat
 
 
 def op10_pii_surrogates(spark, sf_dir: str) -> DataFrame:
-    rows = redact(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # a configured key counts; the fixed one makes the query's rows the same in all sessions, and is no secret
+    rows = redact(common.table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get(KEY, None) or QUERY_KEY)
     rendered = F.transform("pii_entities", lambda x: F.concat_ws(":", x["kind"], x["s"].cast("string"), x["e"].cast("string")))
     return rows.select("doc_id", "text", F.size("pii_entities").cast("long").alias("n_entities"), F.array_join(rendered, ",").alias("entities"))
