@@ -9,8 +9,9 @@ symbol, weight), rewrite a clause's symbols one after the other:
 * THREAT: a threat, or a harm that is intended, becomes a match: negated, reported or a threat.
 
 `compose` makes one machine of them, which reads a clause once; a target behind a match is marked before that by AIM running
-from right to left. Arcs that write a match carry the match's weight, and a clause's score is the sum of its arcs' weights: isolated
-words have none. A document's score is logistic in whether any clause matched and in the logarithm of its clauses' scores.
+from right to left. Arcs that write a match carry the match's weight, and a clause's score is the sum of its arcs' weights. A
+learned word without any mark in its clause is a match of the kind `insult`, with a weight of its own, as the training rows tell it: where toxic words
+stand anywhere, as in invented prose, an isolated one decides. A document's score is logistic in whether any clause matched and in the logarithm of its clauses' scores.
 
 What is learned, on labelled rows whose crc32(id as text) mod 4 is not 2, at most `sample` of them (those of the smallest
 hashes): the lexicon, that is words and word beginnings that stand in toxic texts in many different contexts (the words before and
