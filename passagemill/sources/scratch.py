@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import time
 import uuid
@@ -10,6 +11,8 @@ from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 KEY = "spark.checkpoint.dir"
+#: Spark's setting for deleting a query's shuffle files at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Paths of the tables that this application wrote and has not deleted.
 _WRITTEN: list[str] = []
 #: Seconds between two trims of the driver, and when the last one was.
@@ -63,11 +66,23 @@ def _trim_at_times(spark: SparkSession) -> None:
         trim(spark)
 
 
+@contextlib.contextmanager
+def _without_leftovers(spark: SparkSession):
+    """Shuffle files of the queries that are run within go as soon as each has ended; else they stay until the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage is cut, lost executors lose nothing."""
+    """Write df as a table in the shared folder and read it back: lineage is cut, lost executors lose nothing. The write's own shuffle files are deleted."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with _without_leftovers(spark):
+        df.write.parquet(path)
     _WRITTEN.append(path)
     _trim_at_times(spark)
     out = spark.read.schema(df.schema).parquet(path)
