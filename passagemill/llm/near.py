@@ -161,7 +161,7 @@ def _first(shared):
 
 def _prefixed(crowded: DataFrame, known: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     """(pairs of sets that share a first shingle of few sets, the dense sets' rows of crowded). known: (set, shingles)."""
-    spark = known.sparkSession
+    spark, point = known.sparkSession, scratch.mark()
     held = common.materialize(known.join(crowded.select("set").distinct().hint("merge"), "set", "left_semi"), "crowded-sets")
     table = held.select("shingles").mapInArrow(_bucket_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # 2 ** BUCKETS rows at most
     counts = np.zeros(1 << BUCKETS, np.int64)
@@ -172,7 +172,9 @@ def _prefixed(crowded: DataFrame, known: DataFrame, hot: int) -> tuple[DataFrame
     paired, dense = _shared(first, min(hot, FEW))
     paired = common.materialize(paired.distinct(), "first-pairs")
     dense = crowded.join(dense.select("set").distinct().hint("merge"), "set", "left_semi").select("key", "set", "n")
-    return paired, common.materialize(dense, "dense-bands")
+    dense = common.materialize(dense, "dense-bands")
+    scratch.discard_since(spark, point, paired, dense)
+    return paired, dense
 
 
 def _pivoted(dense: DataFrame, pivots: int) -> DataFrame:
@@ -223,6 +225,7 @@ def _rest(dense: DataFrame, known: DataFrame, roots: DataFrame, block: int = BLO
     """
     if dense.isEmpty():
         return roots
+    point = scratch.mark()
     rooted = dense.join(roots.withColumnRenamed("u", "set").hint("merge"), "set", "left").select("key", "set", "n", F.coalesce("root", "set").alias("root"))
     rooted = common.materialize(rooted, "dense-roots")
     several = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
@@ -259,6 +262,7 @@ def _rest(dense: DataFrame, known: DataFrame, roots: DataFrame, block: int = BLO
     laid = common.materialize(left.unionByName(right).join(dealt.hint("merge"), ["kind", "name", "block"]).select("unit", "other", "set", "root"), "laid-blocks")
     whole = common.skew_join(laid, known, ["set"], salts=16).select("unit", "other", "root", "shingles")
     more = common.materialize(whole.groupBy("unit").applyInArrow(alike_roots, "u binary, v binary").distinct(), "rest-links")
+    scratch.discard_since(dense.sparkSession, point, more)
     if more.isEmpty():
         return roots
     return components(roots.select("u", F.col("root").alias("v")).unionByName(more))
@@ -284,7 +288,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     any_crowded = not crowded.isEmpty()  # else there is nothing to do for them
     if any_crowded:
         first, dense = _prefixed(crowded, known, hot)
-        pairs = common.materialize(pairs.unionByName(first).unionByName(_pivoted(dense, pivots)).distinct(), "near-pairs")
+        before, pairs = pairs, common.materialize(pairs.unionByName(first).unionByName(_pivoted(dense, pivots)).distinct(), "near-pairs")
+        for done in (before, first, crowded):
+            common.discard(done)
     # a pivot can be in very many pairs
     own = lambda c, name: common.skew_join(pairs, known.select(F.col("set").alias(c), F.col("shingles").alias(name)), [c], salts=16)
     both = own("u", "a").join(own("v", "b").hint("merge"), ["u", "v"])
@@ -292,6 +298,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     alike = both.where(F.size(F.array_intersect("a", "b")) * 9 >= (F.size("a") + F.size("b")) * 4).select("u", "v")
 
     roots = components(alike)
+    common.discard(pairs)
     if any_crowded:
         roots = _rest(dense, known, roots, block)
     rooted = sets.select("set", "least").join(roots.withColumnRenamed("u", "set").hint("merge"), "set", "left")
