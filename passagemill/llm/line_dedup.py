@@ -186,8 +186,8 @@ def left_out(lines: DataFrame) -> DataFrame:
     return ran.select("num", "kind", "n", F.explode(both).alias("x")).select("num", "kind", "n", "x.*")
 
 
-def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> DataFrame:
-    """(u, v) digests of alike lines, enough to connect all that are. keyed: distinct lines' (d, key, indexed); texts(digests) -> (d, line)."""
+def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> tuple[DataFrame, list[DataFrame]]:
+    """((u, v) digests of alike lines, enough to connect all that are; the tables that they are read from). keyed: distinct lines' (d, key, indexed); texts(digests) -> (d, line)."""
     sizes = common.materialize(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "line-key-sizes")
     paired = sizes if edits > 1 else sizes.where(F.col("n") <= hot)
     near = common.materialize(keyed.join(paired.select("key").hint("merge"), "key"), "line-keys")
@@ -208,8 +208,9 @@ def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> Dat
     found = told.where(F.col("distance") <= edits).select("u", "v")
     for done in (sizes, near):
         common.discard(done)
+    used = [pairs, crowded, known, told]
     if edits > 1:
-        return found
+        return found, used
     held = known.join(crowded.hint("merge"), "d", "left_semi")
     forms = common.materialize(left_out(held), "line-forms")
     short, whole, form = forms.where("place >= 0"), forms.where("place < 0"), ["kind", "one", "two"]
@@ -221,7 +222,7 @@ def line_links(keyed: DataFrame, texts, edits: int, hot: int, words: int) -> Dat
     inserted = short.join(shorter.hint("merge"), [*form, "n"]).select("u", F.col("num").alias("v"))
     named = lambda df, c: df.join(held.select(F.col("num").alias(c), F.col("d").alias(f"{c}_d")).hint("merge"), c).drop(c).withColumnRenamed(f"{c}_d", c)
     swapped, inserted = (named(named(df, "u"), "v").select("u", "v") for df in (swapped, inserted))
-    return found.unionByName(swapped).unionByName(inserted)
+    return found.unionByName(swapped).unionByName(inserted), [*used, forms]
 
 
 def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT, words: int = WORDS) -> DataFrame:
@@ -242,7 +243,10 @@ def dropped_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return every.join(wanted.hint("shuffle_hash"), ["d", "deal"], "left_semi").groupBy("d").agg(F.first("line").alias("line"))
 
     keyed = [distinct.select("d", F.explode(c).alias("key")).where("key is not null").withColumn("indexed", F.lit(c == "own")) for c in ("own", "probes")]
-    roots = components(line_links(keyed[0].unionByName(keyed[1]), texts, edits, hot, words)).select(F.col("u").alias("d"), "root")
+    links, used = line_links(keyed[0].unionByName(keyed[1]), texts, edits, hot, words)
+    roots = components(links).select(F.col("u").alias("d"), "root")
+    for done in used:  # the components are tables of their own
+        common.discard(done)
     classes = distinct.select("d", "first", "n").join(roots.hint("merge"), "d", "left")
     classes = classes.where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "d"))
     firsts = classes.groupBy("root").agg(F.min("first").alias("stays"))
