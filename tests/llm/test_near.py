@@ -48,14 +48,12 @@ def test_near_dedup_against_brute_force(spark, docs, hot):
     assert sorted(got) == sorted(brute(texts))
 
 
-def test_what_crowded_bands_lose(spark, docs):
+def test_crowded_bands_lose_nothing(spark, docs):
     """300 near copies, each next to 0.8 of the base: far fewer are alike with each other than with it."""
     rng = random.Random(8)
     base = " ".join(f"w{rng.randrange(9999)}" for _ in range(250))
     texts = [base] + [changed(rng, base, rng.choice([2, 3, 4, 5])) for _ in range(300)]
-    want = brute(texts)
-    got = {r.doc_id for r in near.near_dedup(docs(texts), hot=8).collect()}
-    assert want <= got and len(got) - len(want) <= 3, (len(got), len(want))
+    assert {r.doc_id for r in near.near_dedup(docs(texts), hot=8).collect()} == brute(texts)
 
 
 def test_the_stage_drops_copies_that_differ_in_more_than_two_bits(spark, docs):
