@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.manifest import Source
+from ..sources.scratch import materialize
 from ..sources.store import ArtifactStore, canonical_json, canonical_record
 from .handoff import Bundle, HandoffError, SupportError
 
@@ -66,10 +67,10 @@ class Loaded:
         told = resolver or own
         if (told.graph_digest, told.catalog_digest) != (own.graph_digest, own.catalog_digest):
             raise HandoffError("the resolver is of another graph or catalog")
-        a = self.bundle.addresses
-        status = F.when(F.col("address_id").isin(*told.forbidden), "forbidden").when(F.col("address_id").isin(*told.obsolete), "obsolete")
-        status = status.when(F.col("node_id").isNull() & F.col("division_id").isNull(), "unresolved").otherwise("exact")
-        return replace(self.bundle, addresses=a.withColumn("status", status))
+        marked = [(i, "forbidden") for i in told.forbidden] + [(i, "obsolete") for i in told.obsolete - told.forbidden]
+        a = self.bundle.addresses.join(_frame(self.bundle.addresses.sparkSession, marked, "address_id string, marked string"), "address_id", "left")
+        status = F.when(F.col("marked").isNotNull(), F.col("marked")).when(F.col("node_id").isNull() & F.col("division_id").isNull(), "unresolved").otherwise("exact")
+        return replace(self.bundle, addresses=a.withColumn("status", status).drop("marked"))
 
     def evidence_set(self, address_id: str, intent: Intent | None = None) -> Intent:
         """The catalog's set, or the intent if the catalog has none; one that conflicts with the catalog is refused."""
@@ -108,8 +109,8 @@ def _parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def canonical_artifacts(spark: SparkSession, store: ArtifactStore, uris: list[str]) -> DataFrame:
     """(digest, nodes, resources) of canonical artifacts; bytes that aren't canonical are refused."""
-    files = spark.read.format("binaryFile").load([store.path(store.key(u)) for u in dict.fromkeys(uris)])
-    parsed = files.select("content").mapInPandas(_parse, ARTIFACT).cache()
+    files = spark.read.format("binaryFile").load([store.of(u).path(store.of(u).key(u)) for u in dict.fromkeys(uris)])
+    parsed = materialize(files.select("content").mapInPandas(_parse, ARTIFACT), "artifacts")  # parsed once
     bad = parsed.where("error is not null").limit(1).collect()
     if bad:
         raise HandoffError(f"a canonical artifact can't be read: {bad[0].error}")
@@ -126,7 +127,7 @@ def load(spark: SparkSession, store: ArtifactStore, source: Source, document_id:
     shared = {(d["source_graph_uri"], d["provenance_addresses_uri"]) for d in documents}
     if len(shared) != 1:
         raise HandoffError("the documents' graphs are not one; load one document")
-    graph, catalog = (canonical_record(store.get(store.key(u)))[0] for u in next(iter(shared)))
+    graph, catalog = (canonical_record(store.of(u).get(store.of(u).key(u)))[0] for u in next(iter(shared)))
     artifacts = canonical_artifacts(spark, store, [d["canonical_content_uri"] for d in documents])
     nodes = artifacts.select(F.explode("nodes").alias("n")).select("n.*")
     resources = artifacts.select(F.explode("resources").alias("r")).select("r.*")

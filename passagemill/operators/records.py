@@ -44,12 +44,15 @@ def research_role(df: DataFrame) -> DataFrame:
     )
 
 
+def split_metrics() -> dict[str, Column]:
+    """A manifest's counts, as aggregates of whatever pass there is over the records."""
+    counts = {f"{s}_count": F.count_if(F.col("split") == s) for s in ("train", "validation", "test")}
+    return counts | {"eval_count": F.count_if(F.col("split") != "train")}
+
+
 def split_counts(df: DataFrame) -> DataFrame:
     """One pass for a manifest's counts."""
-    return df.agg(
-        *[F.count_if(F.col("split") == s).alias(f"{s}_count") for s in ("train", "validation", "test")],
-        F.count_if(F.col("split") != "train").alias("eval_count"),
-    )
+    return df.agg(*[c.alias(name) for name, c in split_metrics().items()])
 
 
 def keep_ordered(df: DataFrame, key: list[str], order: str, value: str, alias: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import evalsets as E
 from ..operators import graph as G
 from ..operators import handoff as H
 from ..operators import handoffs as N
@@ -216,3 +217,18 @@ def forbidden_copy_fields(spark, d):
     deep = F.concat(F.lit('[[{"claims":[1,{"q":null'), F.when(n % 5 == 0, ',"paragraph_text":[1]').otherwise(""), F.lit("}]}]]"))
     whole = F.concat(F.lit('{"id":1,"inner":'), inner, F.lit(',"deep":'), deep, F.when(n % 11 == 0, ',"source_text":null').otherwise(""), F.lit("}"))
     return H.copies_within(read(spark, d, "documents").select("doc_id", F.parse_json(whole).alias("v")), "doc_id", "v")
+
+
+# Evaluation records of any shape
+
+
+@query("""WITH r AS (SELECT doc_id, doc_id % 2 = 0 AS nested, CASE doc_id % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'empty' ELSE 'told' END AS source, CASE doc_id % 7 WHEN 0 THEN 'true' WHEN 1 THEN 'null' WHEN 2 THEN 'none' ELSE 'false' END AS trained, doc_id % 11 = 0 AS other, doc_id % 13 = 0 AS unnamed FROM documents)
+SELECT doc_id, CASE WHEN unnamed THEN 'record_id_missing' WHEN other THEN 'role_mismatch' WHEN trained IN ('true', 'null') THEN 'evaluation_record_marked_trainable' WHEN source <> 'told' THEN 'source_record_missing' END AS error FROM r""")
+def imported_rules(spark, d):
+    """Records whose fields stand in themselves or in their metadata, as VARIANTs."""
+    n, source = F.col("doc_id"), F.when(F.col("doc_id") % 5 == 1, ',"source_record_id":""').when(F.col("doc_id") % 5 != 0, ',"source_record_id":"s"').otherwise("")
+    trained = F.when(n % 7 == 0, ',"training_eligible":true').when(n % 7 == 1, ',"training_eligible":null').when(n % 7 != 2, ',"training_eligible":false').otherwise("")
+    role = F.when(n % 11 == 0, ',"research_role":"other"').when(n % 3 == 0, ',"research_role":"exact_recall"').otherwise("")
+    fields = F.concat(source, trained, role)
+    whole = F.concat(F.lit("{"), F.when(n % 13 == 0, F.lit('"x":1')).otherwise(F.concat(F.lit('"record_id":'), n)), F.when(n % 2 == 0, F.concat(F.lit(',"metadata":{"k":[1]'), fields, F.lit("}"))).otherwise(fields), F.lit("}"))
+    return read(spark, d, "documents").select("doc_id", F.parse_json(whole).alias("v")).select("doc_id", E.variant_error("exact_recall").alias("error"))

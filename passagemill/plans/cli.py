@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 import hashlib
 import json
-import shutil
 import sys
 
 from ..functions.hashing import checksum
@@ -54,23 +53,24 @@ def _dataset(store: ArtifactStore, uri: str) -> dict:
     manifest = store.get_json(store.key(uri))
     if manifest.get("schema") != B.DATASET_SCHEMA:
         raise ValueError("not a dataset")
-    for shard in manifest["record_shards"]:
-        with open(store.path(store.key(shard["uri"])), "rb") as f:
-            if hashlib.file_digest(f, "sha256").hexdigest() != shard["checksum"]:
-                raise ValueError("the records were changed")
+    for shard in manifest["record_shards"]:  # one at a time
+        if hashlib.sha256(store.get(store.key(shard["uri"]))).hexdigest() != shard["checksum"]:
+            raise ValueError("the records were changed")
     return manifest
 
 
 def _job_events(store: ArtifactStore, job_id: str, after: int) -> list[dict]:
-    import glob
-
-    files = sorted(glob.glob(store.path(f"jobs/{job_id}/events-0")[:-1] + "*.jsonl"))
-    rows = [json.loads(x) for f in files for x in open(f, encoding="utf-8")]
+    names = [n for n in store.files.names(store.path(f"jobs/{job_id}")) if n.startswith("events-")]
+    rows = [r for n in names for r in store.rows(f"jobs/{job_id}/{n}")]
     return [r for r in rows if r["sequence"] > after]
 
 
 def run(args: argparse.Namespace, spark=None) -> dict | list:
-    store = ArtifactStore(args.store)
+    if spark is None and "://" in args.store.removeprefix("file://"):  # only Spark reads such a store
+        from ..session import local_session
+
+        spark = local_session()
+    store = ArtifactStore(args.store, spark=spark)
     match (args.group, getattr(args, "command", None)):
         case ("config", "show"):
             found = C.load(args.config)
@@ -92,15 +92,15 @@ def run(args: argparse.Namespace, spark=None) -> dict | list:
             spark = spark or local_session()
             store = ArtifactStore(args.store, spark=spark)
             source = S.resolve(store, args.source, spark)
-            rows = V.scan(spark, *[store.of(r).path(store.of(r).key(r)) for r in source.manifest["evidence_refs"]])
-            return B.build(spark, store, rows, args.recipe or "paragraph-qa", C.load(args.config), args.dataset, source.checksum, args.experiment, args.run_id, context=S.context(spark, source.manifest), source_uri=args.source)
+            paths = {r: store.of(r).path(store.of(r).key(r)) for r in source.manifest["evidence_refs"]}
+            rows = V.scan(spark, *paths.values())
+            return B.build(spark, store, rows, args.recipe or "paragraph-qa", C.load(args.config), args.dataset, source.checksum, args.experiment, args.run_id, context=S.context(spark, source.manifest), source_uri=args.source, overview=S.overview(source), loaded=V.file_counts(spark, paths))
         case ("dataset", "show"):
             return store.get_json(store.key(args.uri))
         case ("dataset", "export"):
             with open(args.to, "wb") as f:
                 for shard in _dataset(store, args.uri)["record_shards"]:
-                    with open(store.path(store.key(shard["uri"])), "rb") as part:
-                        shutil.copyfileobj(part, f)
+                    f.write(store.get(store.key(shard["uri"])))
             return {"exported": args.to}
         case ("job", "cancel"):
             B.request_cancel(store, args.job_id)
@@ -114,8 +114,9 @@ def run(args: argparse.Namespace, spark=None) -> dict | list:
             records = spark.read.json([store.path(store.key(s["uri"])) for s in manifest["record_shards"]]).drop("ordinal")
             return E.freeze_table(spark, store, E.exact_recall(records, manifest["dataset_version"]), args.name, "exact_recall")
         case ("evaluation-set", "import"):
-            with open(args.path, encoding="utf-8") as f:
-                return E.freeze(store, [json.loads(x) for x in f if x.strip()], args.name, args.role)
+            from ..session import local_session
+
+            return E.import_lines(spark or local_session(), store, args.path, args.name, args.role)
         case ("research-package", "create"):
             from ..session import local_session
 

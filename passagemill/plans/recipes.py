@@ -44,10 +44,18 @@ def template_answers(df: DataFrame, text: str = "source_text") -> DataFrame:
     return df.withColumn("question", F.lit(ASK)).withColumn("answer", T.strip(F.col(text)))
 
 
+#: What a record has of its row. The passages, prompts and responses that it was made from stay behind: the dedup's shuffle and sort hold whole rows.
+OF_RECORD = (
+    "question", "answer", "document_id", "char_start", "source_asset_ids", "document_ids", "evidence_ids", "source_anchor_ids", "knowledge_unit_id", "unit_row", "probe_id", "probe_row", "probe_class",
+    "probe_judgment_id", "student_response_id", "selection_reason", "candidate_id", "decision", "quality_label", "reason_codes",
+)
+
+
 def records(df: DataFrame, identity: Column, order: list[str], seed: str = H.SPLIT_SEED) -> DataFrame:
     """Records of rows with question, answer and lineage: ids, first-wins dedup by messages, group split, roles."""
     unit = F.col("knowledge_unit_id") if "knowledge_unit_id" in df.columns else F.lit(None).cast("string")
-    out = df.withColumn("record_id", identity).withColumn("fingerprint", H.message_fingerprint(F.col("question"), F.col("answer")))
+    kept = [c for c in df.columns if c in OF_RECORD or c in order]
+    out = df.select(*kept, identity.alias("record_id"), H.message_fingerprint(F.col("question"), F.col("answer")).alias("fingerprint"))
     out = R.first_wins(out, "fingerprint", order)
     group = R.record_group(F.col("source_asset_ids"), F.col("document_ids"), unit, F.col("evidence_ids"))
     return R.research_role(R.with_split(out, group, seed))

@@ -18,7 +18,7 @@ def shown(rows):
 
 
 @pytest.mark.skipif(not TABLES.exists(), reason="the driver's tables are not here")
-@pytest.mark.parametrize("name", ["paragraph_spans", "evidence_order", "paragraph_qa_records", "qualification_decision", "gold_closure", "null_safe_support", "evaluation_rules", "build_paragraph_qa_qualified", "build_knowledge_unit_probed_qa", "stage_outputs", "unit_lineage", "identifier_grammars"])
+@pytest.mark.parametrize("name", ["paragraph_spans", "evidence_order", "paragraph_qa_records", "qualification_decision", "gold_closure", "null_safe_support", "evaluation_rules", "build_paragraph_qa_qualified", "build_knowledge_unit_probed_qa", "stage_outputs", "unit_lineage", "identifier_grammars", "composite_handoffs", "paragraph_handoffs", "provenance_problems", "provenance_anchors", "slot_merge", "forbidden_copy_fields", "imported_rules"])
 def test_query_equals_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
