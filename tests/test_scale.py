@@ -1,11 +1,18 @@
 """What must not grow faster than the input: tasks and writes of calls, copies of passages, copies of a seed's relations."""
 
+import pytest
+
+from passagemill.operators import handoffs as N
 from passagemill.operators import knowledge as K
+from passagemill.operators.clients import Role
 from passagemill.plans import build as B
+from passagemill.plans import catalog
 from passagemill.plans import config as C
+from passagemill.plans.catalog_sources import supplier_bundle, supplier_sets
 from passagemill.sources.store import ArtifactStore
 
 from .test_build import TOML, evidence
+from .test_catalog import TABLES
 
 
 def test_calls_have_so_many_tasks_a_core_and_their_log_is_the_table(spark, tmp_path, monkeypatch):
@@ -34,3 +41,12 @@ def test_cited_texts_come_to_the_rows(spark):
     want = {r.unit_row: r.cited for r in K.cite(rows, texts).collect()}
     got = K.with_cited(rows, texts, "unit_row", 5, 7).select("unit_row", "cited").collect()
     assert len(got) == len(want) == 280 and {r.unit_row: r.cited for r in got} == want and want["u2-0"] == "text 0\ntext 1\ntext 0"
+
+
+@pytest.mark.skipif(not TABLES.exists(), reason="the driver's tables are not here")
+def test_relations_are_hashed_once_a_seed(spark):
+    plan = catalog.QUERIES["composite_handoffs"](spark, str(TABLES))._jdf.queryExecution().optimizedPlan().toString()
+    assert "excluded_relations" not in plan and "sha2" not in plan.split("Join")[0].replace("sha2(, 256)", "")
+    got = N.composites(supplier_bundle(spark, str(TABLES)), supplier_sets(spark, str(TABLES)), Role("claim"), catalog.RuleResponder)
+    seeds = got.by_seed.count()
+    assert 0 < seeds <= 6 < got.bare.count() == got.records.count()
