@@ -1,12 +1,14 @@
 """What must not grow faster than the input: tasks and writes of calls, copies of passages, copies of a seed's relations."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from passagemill.operators import handoffs as N
 from passagemill.operators import knowledge as K
 from passagemill.operators.clients import Role
 from passagemill.plans import build as B
-from passagemill.plans import catalog
+from passagemill.operators import records as R
+from passagemill.plans import catalog, recipes
 from passagemill.plans import config as C
 from passagemill.plans.catalog_sources import supplier_bundle, supplier_sets
 from passagemill.sources.store import ArtifactStore
@@ -50,3 +52,20 @@ def test_relations_are_hashed_once_a_seed(spark):
     got = N.composites(supplier_bundle(spark, str(TABLES)), supplier_sets(spark, str(TABLES)), Role("claim"), catalog.RuleResponder)
     seeds = got.by_seed.count()
     assert 0 < seeds <= 6 < got.bare.count() == got.records.count()
+
+
+def test_dedup_carries_nothing_that_can_be_made_after_it(spark):
+    rows = evidence(spark, 3)
+    probes = recipes.probe_skeleton(recipes.knowledge_units(rows), 2)
+    plan = recipes.probed_qa(probes, "demo")._jdf.queryExecution().optimizedPlan().toString()
+    carried = next(line for line in plan.splitlines() if "Aggregate" in line).partition("AS _first")[0]
+    assert "answer" in carried and not any(c in carried for c in ("record_id", "question,", "source_asset_ids", "evidence_ids"))
+
+
+def test_first_of_equal_fingerprints_by_order_whatever_the_columns(spark):
+    rows = spark.createDataFrame([("f", 2, "a", [1]), ("f", 1, "z", [9]), ("g", 3, "b", [2])], "fp string, at int, x string, xs array<int>")
+    want = {("f", 1, "z", (9,)), ("g", 3, "b", (2,))}
+    mapped = rows.withColumn("m", F.create_map(F.lit("k"), F.col("x")))
+    assert {(r.fp, r.at, r.x, tuple(r.xs)) for r in R.first_wins(rows, "fp", ["at"]).collect()} == want
+    assert {(r.fp, r.at, r.x, tuple(r.xs)) for r in R.first_wins(mapped, "fp", ["at"]).collect()} == want
+    assert R.first_wins(mapped, "fp", ["at"]).columns == mapped.columns
