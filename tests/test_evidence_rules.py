@@ -1,0 +1,26 @@
+"""evidence_violations against its SQL on tables that have what sf0.001 to sf0.1 lack: blank texts, repeated ids and nulls."""
+
+import pytest
+
+from passagemill.plans import catalog
+
+KIND = "doc_id long, text string, lang string, source string"
+ROWS = [
+    (1, "words", "en", "src1"), (2, "", "en", "src1"), (3, None, "fr", "src2"), (4, " \n\t\x0b", "es", "src3"), (5, "  　\x85 ", "en", "src7"),
+    (6, "words", None, "src1"), (7, "words", "de", None), (8, "words", None, None), (13, "", "de", "src4"), (26, "​", "es", "src7"),
+    (30, "once", "de", "src1"), (30, "again", "en", "src1"), (31, "once", "de", "src1"), (31, "once", "de", "src1"), (None, "words", "en", "src1"), (None, " ", "de", "src1"),
+]
+
+
+def test_violations_equal_their_sql_on_blank_repeated_and_null_rows(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    spark.createDataFrame(ROWS, KIND).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    shown = lambda rows: sorted(tuple(map(str, r)) for r in rows)
+    got = shown(catalog.QUERIES["evidence_violations"](spark, str(tmp_path)).select("evidence_id", "rule", "precedence").collect())
+    assert got == shown(connection.execute(catalog.ORACLES["evidence_violations"]).fetchall())
+    told = lambda rule: [i for i, r, _ in got if r == rule]
+    assert told("blank_text") == ["None", "ev-13", "ev-2", "ev-3", "ev-4", "ev-5"]
+    assert told("duplicate_evidence_id") == ["ev-30", "ev-30", "ev-31", "ev-31"]
+    assert told("unknown_document") == ["None", "None", "ev-13", "ev-31", "ev-31", "ev-6", "ev-7", "ev-8"]
